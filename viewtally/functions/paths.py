@@ -7,8 +7,8 @@ parts joined by ``-``. All functions are built from ``split``, ``rlike`` and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ def _group(c: Column, pattern: str, group: int) -> Column:
 
 
 def _contains_any(c: Column, marks: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [c.contains(m) for m in marks])
+    return c.rlike("|".join(re.escape(m) for m in marks))
 
 
 def _only(c: Column, allowed: Sequence[str] | None) -> Column:
@@ -254,25 +254,24 @@ def list_category_3x(path_main) -> Column:
     full = rf"{start}({pages})\*([a-zA-Z0-9&一-龥]+)"
     short = rf"({pages})\*([a-zA-Z0-9&一-龥]+)"
 
-    no_list = path.isNull() | _contains_any(path, V.NO_LIST_PAGE_MARKS) | ~_contains_any(path, V.LIST_PAGE_MARKS)
-    is_kids = path.contains("kids")
-    is_music = path.contains("mv_category") | path.contains("mv_poster")
-    is_sports = path.contains("sports*")
-    is_retrieval = path.contains("retrieval") | path.contains("筛选")
-    is_search = path.contains("search") | path.contains("搜索")
-    is_recommended = path.contains("home*recommendation")
-
-    def pick(kids_v, music_v, sports_v, retrieval_v, search_v, recommended_v, other_v) -> Column:
-        return (
-            F.when(no_list, _null())
-            .when(is_kids, kids_v)
-            .when(is_music, music_v)
-            .when(is_sports, sports_v)
-            .when(is_retrieval, retrieval_v)
-            .when(is_search, search_v)
-            .when(is_recommended, recommended_v)
-            .otherwise(other_v)
-        )
+    # which rule applies, worked out once for the three levels
+    rule = (
+        F.when(path.isNull() | _contains_any(path, V.NO_LIST_PAGE_MARKS), 0)
+        .when(~_contains_any(path, V.LIST_PAGE_MARKS), 0)
+        .when(path.contains("kids"), 1)
+        .when(path.rlike("mv_category|mv_poster"), 2)
+        .when(path.contains("sports*"), 3)
+        .when(path.rlike("retrieval|筛选"), 4)
+        .when(path.rlike("search|搜索"), 5)
+        .when(path.contains("home*recommendation"), 6)
+        .otherwise(7)
+    )
+
+    def pick(*by_rule: Column) -> Column:
+        expr = F.when(rule == 0, _null())
+        for number, value in enumerate(by_rule, start=1):
+            expr = expr.when(rule == number, value)
+        return expr
 
     level1 = pick(
         kids[0], music[0], sports[0], retrieval, search, _group(path, recommended, 1),
@@ -285,7 +284,7 @@ def list_category_3x(path_main) -> Column:
         _group(path, recommended, 2),
         F.coalesce(_group(path, full, 2), _group(path, short, 2)),
     )
-    level3 = pick(kids[2], music[2], sports[2], _null(), _null(), _null(), _null())
+    level3 = pick(kids[2], music[2], sports[2])
     return F.struct(level1.alias("level1"), level2.alias("level2"), level3.alias("level3"))
 
 
@@ -333,18 +332,21 @@ MUSIC_TABS: list[tuple[str, str, str, tuple[str, str | None, str | None]]] = [
 def music_tabs(path) -> Column:
     """Struct (entry, tab, item) of a music path; '' where nothing matches."""
     path = column(path)
-    outs = []
-    for level, name in enumerate(("entry", "tab", "item")):
-        expr = F.when(path.isNull(), F.lit(""))
-        for entry, second, third, labels in MUSIC_TABS:
-            pattern = entry + second + third
-            label = labels[level]
-            value = F.lit(label) if label is not None else F.regexp_extract(
-                path, entry + second + r"-mv_category\*([a-zA-Z0-9&一-龥]+)", 1
-            )
-            expr = expr.when(path.rlike(pattern), value)
-        outs.append(expr.otherwise(F.lit("")).alias(name))
-    return F.struct(*outs)
+    number = F.when(path.isNull(), len(MUSIC_TABS))
+    for i, (entry, second, third, _) in enumerate(MUSIC_TABS):
+        number = number.when(path.rlike(entry + second + third), i)
+    number = number.otherwise(len(MUSIC_TABS))
+    taken = "*"
+
+    def label(level: int) -> Column:
+        labels = [taken if t[3][level] is None else t[3][level] for t in MUSIC_TABS] + [""]
+        return F.get(F.array(*[F.lit(x) for x in labels]), number)
+
+    item = label(2)
+    from_path = F.regexp_extract(path, r"-mv_category\*([a-zA-Z0-9&一-龥]+)", 1)
+    return F.struct(
+        label(0).alias("entry"), label(1).alias("tab"), F.when(item == taken, from_path).otherwise(item).alias("item")
+    )
 
 
 def music_home_location(path_main) -> Column:

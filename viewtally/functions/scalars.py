@@ -15,12 +15,10 @@ def column(c: str | Column) -> Column:
 
 
 def label_of(c, labels: Mapping[str, str], default: Column | str | None = None) -> Column:
-    """Dictionary lookup with a default, as one CASE expression."""
-    c = column(c)
-    expr = F.when(F.lit(False), F.lit(None).cast("string"))
-    for key, label in labels.items():
-        expr = expr.when(c == key, F.lit(label))
-    return expr.otherwise(default if isinstance(default, Column) else F.lit(default))
+    """Dictionary lookup with a default: one constant map, ``c`` read once."""
+    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    fallback = default if isinstance(default, Column) else F.lit(default)
+    return F.coalesce(F.try_element_at(table, column(c)), fallback)
 
 
 def banded(c, bounds: Sequence[tuple[int, str]], above: str) -> Column:

@@ -20,16 +20,12 @@ CHANNELS = ["movie", "tv", "zongyi", "comic", "kids", "jilu", "hot", "xiqu", "mv
 
 
 def _choice(expr: str, values: list[str]) -> str:
-    arms = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))
-    return f"CASE CAST(({expr}) % {len(values)} AS INT) {arms} END"
-
-
-def _quoted(values: list[str]) -> list[str]:
-    return [f"'{v}'" for v in values]
+    """One of some texts by number; '' stands for null."""
+    return f"nullif(split_part('{'~'.join(values)}', '~', CAST(1 + ({expr}) % {len(values)} AS INT)), '')"
 
 
 def channel(expr: str) -> str:
-    return _choice(expr, _quoted(CHANNELS))
+    return _choice(expr, CHANNELS)
 
 
 def at(day: str, seconds: str) -> str:
@@ -59,38 +55,46 @@ def mac(expr: str) -> str:
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"
 _CT3 = channel("l_suppkey")
 
-# The 3.x path of template number T (see PATHS_3X in the path report checks).
+# Paths by template number; #n stands for a number below n, '' for null.
 PATHS_3X = [
-    "'home*classification*jilu-jilu*T' || CAST(l_suppkey % 5 AS STRING)",
-    "'home*my_tv*history'",
-    "'home*my_tv*collect-accountcenter_home*X1'",
-    "'home*recommendation*1-hot*T' || CAST(l_suppkey % 4 AS STRING)",
-    "'home*my_tv*tv-tv-search*DQD'",
-    "'home*my_tv*tv'",
-    "'home*classification*kids-kids_home-kids_anim*A' || CAST(l_suppkey % 3 AS STRING)",
-    "'home*classification*mv-mv*mvCategoryHomePage*site_mvstyle-mv_category*POP'",
-    "'mv*function*site_hotsinger-mv_poster'",
-    "'home*classification*3-sports*League*ouguan-league*A2'",
-    "'home*classification*movie-movie-retrieval*hot*xiju*gangtai*all'",
-    "'home*hotSubject*x'",
-    "'home*taste*y'",
-    "CAST(NULL AS STRING)",
-    "'thirdparty'",
-    "'home*live*eagle-mv*function*site_concert-mv_category*C3'",
+    "home*classification*jilu-jilu*T#5",
+    "home*my_tv*history",
+    "home*my_tv*collect-accountcenter_home*X1",
+    "home*recommendation*1-hot*T#4",
+    "home*my_tv*tv-tv-search*DQD",
+    "home*my_tv*tv",
+    "home*classification*kids-kids_home-kids_anim*A#3",
+    "home*classification*mv-mv*mvCategoryHomePage*site_mvstyle-mv_category*POP",
+    "mv*function*site_hotsinger-mv_poster",
+    "home*classification*3-sports*League*ouguan-league*A2",
+    "home*classification*movie-movie-retrieval*hot*xiju*gangtai*all",
+    "home*hotSubject*x",
+    "home*taste*y",
+    "",
+    "thirdparty",
+    "home*live*eagle-mv*function*site_concert-mv_category*C3",
 ]
 PATHS_2X = [
-    "'home-movie-movie_hot'",
-    "'home-search-CNWD'",
-    "'home-kids_home-kids_seecartoon'",
-    "'home-hotrecommend-1-2-hot' || CAST(o_custkey % 30 AS STRING)",
-    "'home-history-collect'",
-    "'home-tv-tv_genbo-tv' || CAST(o_custkey % 20 AS STRING) || '-actor'",
-    "CAST(NULL AS STRING)",
-    "'home-movie-multi_search-hot-xiju-neidi-2016'",
-    "'home-hot-hot_zhuanti-subject-hot7-similar'",
-    "'home-otherswatch-3'",
+    "home-movie-movie_hot",
+    "home-search-CNWD",
+    "home-kids_home-kids_seecartoon",
+    "home-hotrecommend-1-2-hot#30",
+    "home-history-collect",
+    "home-tv-tv_genbo-tv#20-actor",
+    "",
+    "home-movie-multi_search-hot-xiju-neidi-2016",
+    "home-hot-hot_zhuanti-subject-hot7-similar",
+    "home-otherswatch-3",
 ]
 
+
+def path(expr: str, templates: list[str], number: str) -> str:
+    text = _choice(expr, templates)
+    for n in sorted({int(m) for m in re.findall(r"#(\d+)", " ".join(templates))}, reverse=True):
+        text = f"replace({text}, '#{n}', CAST(({number}) % {n} AS STRING))"
+    return text
+
+
 STANDINS: dict[str, str] = {
     # ---------------------------------------------------------------- play logs
     "play3": f"""
@@ -102,7 +106,7 @@ SELECT CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE 'u' || CAST(l_partkey AS STRI
   'name' || CAST(l_suppkey + (CASE WHEN l_orderkey % 211 = 0 THEN 1 ELSE 0 END) AS STRING) AS videoName,
   'e' || CAST(l_suppkey % 37 AS STRING) AS episodeSid,
   CAST((l_orderkey + l_linenumber) % 16 AS INT) AS template,
-  {_choice('l_orderkey + l_linenumber', PATHS_3X)} AS pathMain,
+  {path('l_orderkey + l_linenumber', PATHS_3X, 'l_suppkey')} AS pathMain,
   CASE l_linenumber WHEN 4 THEN 'similar-x-v' || CAST(l_suppkey AS STRING) || '*' || {_CT3}
     WHEN 5 THEN 'peoplealsolike-y-v1*tv' WHEN 6 THEN 'guessyoulike' ELSE NULL END AS pathSub,
   CASE l_suppkey % 6 WHEN 0 THEN 'subject-Title' || CAST(l_suppkey % 40 AS STRING) || '-' || {_CT3} || CAST(l_suppkey % 40 AS STRING)
@@ -119,7 +123,7 @@ SELECT 'u' || CAST(o_custkey AS STRING) AS userId, 'playview' AS event,
   {channel('o_orderkey')} AS contentType,
   'v' || CAST(o_orderkey % 100 AS STRING) AS videoSid,
   CAST(o_custkey % 10 AS INT) AS template,
-  {_choice('o_custkey', PATHS_2X)} AS path,
+  {path('o_custkey', PATHS_2X, 'o_custkey')} AS path,
   CAST(floor(o_totalprice / 40) AS BIGINT) AS duration,
   '2.6.' || CAST(o_custkey % 9 AS STRING) AS apkVersion,
   {model('o_custkey')} AS productModel,
@@ -158,8 +162,8 @@ SELECT CASE WHEN user_id % 41 = 0 THEN NULL ELSE 'u' || CAST(user_id AS STRING)
 FROM {{events}}""",
     "home": f"""
 SELECT 'u' || CAST(user_id AS STRING) AS userId, event_type AS event,
-  {_choice(K, _quoted(['classification', 'my_tv', 'recommendation', 'live', 'foundation', 'navi']))} AS accessArea,
-  {_choice('user_id', _quoted(['site_movie', 'site_tv', 'history', 'top_hot', 'search', 'site_kids', 'other']))} AS accessLocation,
+  {_choice(K, ['classification', 'my_tv', 'recommendation', 'live', 'foundation', 'navi'])} AS accessArea,
+  {_choice('user_id', ['site_movie', 'site_tv', 'history', 'top_hot', 'search', 'site_kids', 'other'])} AS accessLocation,
   CAST({K} % 20 AS STRING) AS locationIndex,
   {model('user_id')} AS productModel, '3.1.' || CAST(user_id % 12 AS STRING) AS apkVersion,
   CAST(floor(value) AS BIGINT) * 60 AS duration, ts AS datetime, CAST(ts AS DATE) AS day
@@ -168,7 +172,7 @@ FROM {{events}}""",
 SELECT 'u' || CAST(user_id AS STRING) AS userId,
   CASE event_type WHEN 'view' THEN 'startplay' WHEN 'purchase' THEN 'startplay' WHEN 'click' THEN 'switchchannel' ELSE 'endplay' END AS event,
   CASE WHEN {K} % 4 = 0 THEN 'vod' ELSE 'live' END AS liveType,
-  {_choice(K, _quoted(['carousel', 'telecast', 'webcast']))} AS sourceType,
+  {_choice(K, ['carousel', 'telecast', 'webcast'])} AS sourceType,
   'chan' || CAST({K} % 40 AS STRING) AS channelSid,
   'menu' || CAST({K} % 7 AS STRING) AS liveMenuCode,
   'home*live*eagle-webcast*1-' || CAST({K} % 9 AS STRING) AS pathMain,
@@ -180,7 +184,7 @@ SELECT 'u' || CAST(o_custkey AS STRING) AS userId,
   CASE o_orderstatus WHEN 'O' THEN 'enter' WHEN 'F' THEN 'exit' ELSE 'view' END AS event,
   {channel('o_custkey')} AS contentType, {channel('o_orderkey')} || CAST(o_orderkey % 40 AS STRING) AS subjectCode,
   'v' || CAST(o_orderkey % 100 AS STRING) AS videoSid,
-  {_choice('o_custkey', PATHS_2X)} AS path,
+  {path('o_custkey', PATHS_2X, 'o_custkey')} AS path,
   CASE WHEN o_orderstatus = 'F' THEN CAST(floor(o_totalprice / 10) AS BIGINT) ELSE NULL END AS duration,
   '3.1.' || CAST(o_custkey % 9 AS STRING) AS apkVersion, {model('o_custkey')} AS productModel,
   {at(month_day('o_orderdate'), '(o_orderkey * 41) % 86400')} AS datetime, {month_day('o_orderdate')} AS day
@@ -195,17 +199,17 @@ SELECT 'u' || CAST(o_custkey AS STRING) AS userId, 'v' || CAST(o_orderkey % 100
 FROM {{orders}}""",
     "apps": f"""
 SELECT 'u' || CAST(user_id AS STRING) AS userId, 'app' || CAST({K} % 30 AS STRING) AS appSid,
-  {_choice('user_id + event_id', _quoted(['view', 'open', 'install', 'upgrade']))} AS event, CAST(ts AS DATE) AS day
+  {_choice('user_id + event_id', ['view', 'open', 'install', 'upgrade'])} AS event, CAST(ts AS DATE) AS day
 FROM {{events}}""",
     "accountlog": f"""
 SELECT 'u' || CAST(user_id AS STRING) AS userId, CAST({K} % 40 AS INT) AS accountId,
   CASE WHEN event_type = 'signup' THEN 'login' ELSE 'access' END AS event,
-  {_choice(K, _quoted(['home', 'history', 'collect', 'comment']))} AS path, CAST(ts AS DATE) AS day
+  {_choice(K, ['home', 'history', 'collect', 'comment'])} AS path, CAST(ts AS DATE) AS day
 FROM {{events}}""",
     "crash": f"""
 SELECT {mac('user_id')} AS MAC, CASE WHEN user_id % 23 = 0 THEN '3.1.10' ELSE '3.1.' || CAST(user_id % 7 AS STRING) END AS APP_VERSION_NAME,
   CAST(310 + user_id % 7 AS BIGINT) AS APP_VERSION_CODE,
-  {_choice(K, _quoted(['java.lang.OutOfMemoryError: x', 'java.lang.NullPointerException', 'java.io.IOException']))} AS CRASH_KEY,
+  {_choice(K, ['java.lang.OutOfMemoryError: x', 'java.lang.NullPointerException', 'java.io.IOException'])} AS CRASH_KEY,
   CASE WHEN {K} % 17 = 0 THEN '' ELSE props END AS STACK_TRACE, CAST(20240101 + user_id % 5 AS BIGINT) AS DATE_CODE,
   'P' || CAST(user_id % 4 AS STRING) AS PRODUCT_CODE, CAST(ts AS DATE) AS day
 FROM {{events}}""",
@@ -223,9 +227,9 @@ SELECT {month_day('l_shipdate')} AS day, '3.1.' || CAST(l_partkey % 12 AS STRING
     || CASE WHEN l_orderkey % 50 = 0 THEN '}}}}'
        WHEN l_orderkey % 50 = 2 THEN ',"playqos":[{{{{"videoSource":"s0","sourceIndex":0}}}}]}}}}'
        ELSE ',"playqos":[{{{{"videoSource":"s' || CAST(l_partkey % 5 AS STRING) || '","sourceIndex":0,"sourcecases":[{{{{"playCode":'
-         || CAST({_choice('l_linenumber', ['200', '-1', '-2', '-3'])} AS STRING) || ',"playDuration":' || CAST(l_orderkey % 100 AS STRING)
+         || {_choice('l_linenumber', ['200', '-1', '-2', '-3'])} || ',"playDuration":' || CAST(l_orderkey % 100 AS STRING)
          || '}}}},{{{{"playCode":200}}}}]}}}},{{{{"videoSource":"s' || CAST((l_partkey + 1) % 5 AS STRING)
-         || '","sourceIndex":1,"sourcecases":[{{{{"playCode":' || CAST({_choice('l_orderkey', ['200', '-1', '-3'])} AS STRING) || '}}}}]}}}}]}}}}' END END AS jsonLog
+         || '","sourceIndex":1,"sourcecases":[{{{{"playCode":' || {_choice('l_orderkey', ['200', '-1', '-3'])} || '}}}}]}}}}]}}}}' END END AS jsonLog
 FROM {{lineitem}}""",
     "access": f"""
 SELECT page_id, CAST(1 + page_id % 200 AS STRING) || '.2.3.4 - - [' || lpad(CAST(1 + page_id % 28 AS STRING), 2, '0')
