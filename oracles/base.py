@@ -194,3 +194,5 @@ check("surrogate_dictionary", r"""SELECT DISTINCT md5(flag || '|' || entryType |
 check("presence_by_product", side_by_side({
     "players": "SELECT productModel, count(DISTINCT userId) AS players FROM play GROUP BY 1",
     "logins": "SELECT productModel, count(DISTINCT userId) AS logins FROM login GROUP BY 1"}, ["productModel"]))
+check("province_names", """SELECT CASE n_nationkey WHEN 0 THEN '黑龙江' WHEN 1 THEN '内蒙古' WHEN 2 THEN '北京' WHEN 3 THEN '未知' ELSE n_name END AS province,
+  CASE n_nationkey WHEN 0 THEN '黑龙江' WHEN 1 THEN '内蒙古' WHEN 2 THEN '北京' ELSE '国外及其他' END AS area, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""")

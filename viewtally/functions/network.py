@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import column
+from . import values as V
+from .scalars import column, label_of
 
 _IPV4 = r"^\s*\d{1,3}(\.\d{1,3}){3}\s*$"
 
@@ -36,3 +37,15 @@ def client_ip(forwarded, remote) -> Column:
     """First address of the forwarded list, else the remote address."""
     first = F.trim(F.split(column(forwarded), ",")[0])
     return F.coalesce(F.nullif(first, F.lit("")), column(remote))
+
+
+def full_province(province) -> Column:
+    """Complete a cut province name; null -> unknown."""
+    province = column(province)
+    return F.when(province.isNull(), F.lit(V.UNKNOWN)).otherwise(label_of(province, V.PROVINCE_FIXES, province))
+
+
+def home_province(province) -> Column:
+    """The province if it is one of the home country, else 'abroad and other'."""
+    province = column(province)
+    return F.when(province.isin(V.PROVINCES), province).otherwise(F.lit(V.ABROAD_LABEL))

@@ -254,38 +254,33 @@ def list_category_3x(path_main) -> Column:
     full = rf"{start}({pages})\*([a-zA-Z0-9&一-龥]+)"
     short = rf"({pages})\*([a-zA-Z0-9&一-龥]+)"
 
-    # which rule applies, worked out once for the three levels
-    rule = (
-        F.when(path.isNull() | _contains_any(path, V.NO_LIST_PAGE_MARKS), 0)
-        .when(~_contains_any(path, V.LIST_PAGE_MARKS), 0)
-        .when(path.contains("kids"), 1)
-        .when(path.rlike("mv_category|mv_poster"), 2)
-        .when(path.contains("sports*"), 3)
-        .when(path.rlike("retrieval|筛选"), 4)
-        .when(path.rlike("search|搜索"), 5)
-        .when(path.contains("home*recommendation"), 6)
-        .otherwise(7)
-    )
-
-    def pick(*by_rule: Column) -> Column:
-        expr = F.when(rule == 0, _null())
-        for number, value in enumerate(by_rule, start=1):
-            expr = expr.when(rule == number, value)
-        return expr
+    def levels(*values: Column) -> Column:
+        padded = [*values, _null(), _null()][:3]
+        return F.struct(*[v.alias(f"level{i}") for i, v in enumerate(padded, start=1)])
 
-    level1 = pick(
-        kids[0], music[0], sports[0], retrieval, search, _group(path, recommended, 1),
+    other = levels(
         F.coalesce(_group(path, full, 1), _group(path, short, 1)),
-    )
-    level2 = pick(
-        kids[1], music[1], sports[1],
-        F.when(retrieval.isNotNull(), F.lit(V.RETRIEVAL_LABEL)),
-        F.when(search.isNotNull(), F.lit(V.SEARCH_LABEL)),
-        _group(path, recommended, 2),
         F.coalesce(_group(path, full, 2), _group(path, short, 2)),
     )
-    level3 = pick(kids[2], music[2], sports[2])
-    return F.struct(level1.alias("level1"), level2.alias("level2"), level3.alias("level3"))
+    # one CASE with a struct per rule: each test and each rule's patterns are
+    # evaluated once, for the rows the rule is for
+    return (
+        F.when(path.isNull() | _contains_any(path, V.NO_LIST_PAGE_MARKS), levels(_null()))
+        .when(~_contains_any(path, V.LIST_PAGE_MARKS), levels(_null()))
+        .when(path.contains("kids"), levels(*kids))
+        .when(path.contains("mv_category") | path.contains("mv_poster"), levels(*music))
+        .when(path.contains("sports*"), levels(*sports[:3]))
+        .when(
+            path.contains("retrieval") | path.contains("筛选"),
+            levels(retrieval, F.when(retrieval.isNotNull(), F.lit(V.RETRIEVAL_LABEL))),
+        )
+        .when(
+            path.contains("search") | path.contains("搜索"),
+            levels(search, F.when(search.isNotNull(), F.lit(V.SEARCH_LABEL))),
+        )
+        .when(path.contains("home*recommendation"), levels(_group(path, recommended, 1), _group(path, recommended, 2)))
+        .otherwise(other)
+    )
 
 
 def list_category_2x(path) -> Column:
@@ -306,47 +301,52 @@ def list_category_2x(path) -> Column:
 
 
 # ------------------------------------------------------------ music entry tabs
-# Music entries. (entry pattern, second part, third part, labels);
-# the label None is the text after '*' in the third part.
-_TAB = r"-mv_category\*[a-zA-Z0-9&一-龥]{1,}"
-MUSIC_TABS: list[tuple[str, str, str, tuple[str, str | None, str | None]]] = [
-    (r"mv\*mineHomePage\*site_collect", "", "-mv_collection", (V.MUSIC_ENTRY, "我的收藏", "")),
-    (r"mv\*mvRecommendHomePage\*.+-mv_station", "", "", (V.MUSIC_ENTRY, "电台", "")),
-    (r"mv\*mvRecommendHomePage\*[a-zA-Z0-9]+", "", "", (V.MUSIC_ENTRY, "推荐", "")),
-    (r"mv\*mvTopHomePage", r"\*xinge", "", (V.MUSIC_ENTRY, "榜单", "新歌榜")),
-    (r"mv\*mvTopHomePage", r"\*meiguogonggaopai", "", (V.MUSIC_ENTRY, "榜单", "美国公告榜")),
-    (r"mv\*mvTopHomePage", r"\*rege", "", (V.MUSIC_ENTRY, "榜单", "热歌榜")),
-    (r"mv\*mvTopHomePage", r"\*biaoshen", "", (V.MUSIC_ENTRY, "榜单", "飙升榜")),
-    (r"mv\*mvTopHomePage", r"\*site_mvtop", "-mv_poster", (V.MUSIC_ENTRY, "榜单", "更多榜单")),
-    (r"mv-search", "", "", (V.MUSIC_ENTRY, "音乐搜索", "")),
-    (r"mv\*function\*site_hotsinger", "", "", (V.MUSIC_ENTRY, "热门歌手", "")),
-    (r"mv\*function\*site_concert", "", _TAB, (V.MUSIC_ENTRY, "演唱会", None)),
-    (r"mv\*function\*site_dance", "", _TAB, (V.MUSIC_ENTRY, "舞蹈", None)),
-    (r"mv\*function\*site_mvsubject", "", "-mv_poster", (V.MUSIC_ENTRY, "精选集", "")),
-    (r"mv\*mvCategoryHomePage", r"\*site_mvstyle", _TAB, (V.MUSIC_CATEGORY, "风格", None)),
-    (r"mv\*mvCategoryHomePage", r"\*site_mvyear", _TAB, (V.MUSIC_CATEGORY, "年代", None)),
-    (r"mv\*mvCategoryHomePage", r"\*site_mvarea", _TAB, (V.MUSIC_CATEGORY, "地区", None)),
-]
+# Music entries by what follows each other in the path:
+# (entry, second part, kind of list) -> labels; "*" is the text after '*'.
+MUSIC_TABS: dict[tuple[str, str, str], tuple[str, str, str]] = {
+    ("mv*mineHomePage*site_collect", "", "-mv_collection"): (V.MUSIC_ENTRY, "我的收藏", ""),
+    ("mv_station", "", ""): (V.MUSIC_ENTRY, "电台", ""),
+    ("mv*mvRecommendHomePage", "", ""): (V.MUSIC_ENTRY, "推荐", ""),
+    ("mv*mvTopHomePage", "*xinge", ""): (V.MUSIC_ENTRY, "榜单", "新歌榜"),
+    ("mv*mvTopHomePage", "*meiguogonggaopai", ""): (V.MUSIC_ENTRY, "榜单", "美国公告榜"),
+    ("mv*mvTopHomePage", "*rege", ""): (V.MUSIC_ENTRY, "榜单", "热歌榜"),
+    ("mv*mvTopHomePage", "*biaoshen", ""): (V.MUSIC_ENTRY, "榜单", "飙升榜"),
+    ("mv*mvTopHomePage", "*site_mvtop", "-mv_poster"): (V.MUSIC_ENTRY, "榜单", "更多榜单"),
+    ("mv-search", "", ""): (V.MUSIC_ENTRY, "音乐搜索", ""),
+    ("mv*function*site_hotsinger", "", ""): (V.MUSIC_ENTRY, "热门歌手", ""),
+    ("mv*function*site_concert", "", "-mv_category"): (V.MUSIC_ENTRY, "演唱会", "*"),
+    ("mv*function*site_dance", "", "-mv_category"): (V.MUSIC_ENTRY, "舞蹈", "*"),
+    ("mv*function*site_mvsubject", "", "-mv_poster"): (V.MUSIC_ENTRY, "精选集", ""),
+    ("mv*mvCategoryHomePage", "*site_mvstyle", "-mv_category"): (V.MUSIC_CATEGORY, "风格", "*"),
+    ("mv*mvCategoryHomePage", "*site_mvyear", "-mv_category"): (V.MUSIC_CATEGORY, "年代", "*"),
+    ("mv*mvCategoryHomePage", "*site_mvarea", "-mv_category"): (V.MUSIC_CATEGORY, "地区", "*"),
+}
+_MUSIC_ENTRIES = sorted({e for e, _, _ in MUSIC_TABS if "*" in e and "Recommend" not in e}) + ["mv-search"]
+_MUSIC_SECONDS = sorted({s for _, s, _ in MUSIC_TABS if s})
+# the two recommendation forms come first: a station is also a recommendation
+_MUSIC_PATTERN = (
+    r"(mv\*mvRecommendHomePage\*.+-mv_station|mv\*mvRecommendHomePage\*[a-zA-Z0-9]+|"
+    + "|".join(re.escape(e) for e in _MUSIC_ENTRIES)
+    + ")("
+    + "|".join(re.escape(s) for s in _MUSIC_SECONDS)
+    + r")?(-mv_category\*[a-zA-Z0-9&一-龥]+|-mv_poster|-mv_collection)?"
+)
 
 
 def music_tabs(path) -> Column:
     """Struct (entry, tab, item) of a music path; '' where nothing matches."""
     path = column(path)
-    number = F.when(path.isNull(), len(MUSIC_TABS))
-    for i, (entry, second, third, _) in enumerate(MUSIC_TABS):
-        number = number.when(path.rlike(entry + second + third), i)
-    number = number.otherwise(len(MUSIC_TABS))
-    taken = "*"
-
-    def label(level: int) -> Column:
-        labels = [taken if t[3][level] is None else t[3][level] for t in MUSIC_TABS] + [""]
-        return F.get(F.array(*[F.lit(x) for x in labels]), number)
-
-    item = label(2)
-    from_path = F.regexp_extract(path, r"-mv_category\*([a-zA-Z0-9&一-龥]+)", 1)
-    return F.struct(
-        label(0).alias("entry"), label(1).alias("tab"), F.when(item == taken, from_path).otherwise(item).alias("item")
+    first, second, third = (F.regexp_extract(path, _MUSIC_PATTERN, g) for g in (1, 2, 3))
+    entry = F.when(first.endswith("-mv_station"), F.lit("mv_station")).otherwise(
+        F.regexp_replace(first, r"(mv\*mvRecommendHomePage)\*.*", "$1")
     )
+    # most specific first: with the list, without it, the entry alone
+    spellings = [F.concat(entry, second, F.substring_index(third, "*", 1)), F.concat(entry, second), entry]
+    labels = F.create_map(*[F.lit(x) for k, v in MUSIC_TABS.items() for x in ("".join(k), "~".join(v))])
+    found = F.coalesce(*[F.try_element_at(labels, text) for text in spellings], F.lit("~~"))
+    parts = F.split(F.when(path.contains("mv"), found).otherwise(F.lit("~~")), "~")
+    item = F.when(parts[2] == "*", F.substring_index(third, "*", -1)).otherwise(parts[2])
+    return F.struct(parts[0].alias("entry"), parts[1].alias("tab"), item.alias("item"))
 
 
 def music_home_location(path_main) -> Column:

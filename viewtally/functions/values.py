@@ -142,3 +142,11 @@ INVALID_WIFI_MACS = ["020000000000", "02:00:00:00:00:00"]
 # Home country and the label for everything else.
 HOME_COUNTRY = "中国"
 ABROAD_LABEL = "国外及其他"
+
+# Provinces of the home country, and cut names to complete.
+PROVINCES = [
+    "上海", "云南", "内蒙古", "北京", "台湾", "吉林", "四川", "天津", "宁夏", "安徽", "山西", "山东", "广东",
+    "广西", "新疆", "江苏", "江西", "河北", "河南", "浙江", "海南", "湖北", "湖南", "澳门", "甘肃", "福建",
+    "贵州", "辽宁", "重庆", "青海", "香港", "黑龙江", "陕西", "西藏",
+]
+PROVINCE_FIXES = {"黑龙": "黑龙江", "内蒙": "内蒙古"}

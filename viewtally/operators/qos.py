@@ -22,6 +22,7 @@ _TRY_NUMBERS = (
     "parseDuration", "initBufferDuration", "preAdDuration", "mediumAdDuration", "postAdDuration",
     "totalBufferTimes", "totalBufferDuration", "playDuration",
 )
+_SOURCE_TYPE = QOS_DOCUMENT[QOS_DOCUMENT.index("playqos:array<") + len("playqos:array<") : -2]
 _TOP_TEXT = (
     "aid", "pathMain", "pathSpecial", "pathSub", "accountId", "contentType", "videoSid", "episodeSid",
     "playType", "uploadTime",
@@ -29,6 +30,10 @@ _TOP_TEXT = (
 _TOP_NUMBERS = ("initDuration", "getVideoInfoDuration", "playStatus", "avgDownloadSpeed", "playRate")
 
 
+def _marked(source: Column) -> Column:
+    return F.struct(F.lit(True).alias("real"), source.cast(_SOURCE_TYPE).alias("v"))
+
+
 def qos_explode(df: DataFrame, json_col: str = "jsonLog", broken: str = "drop", keep: Sequence[str] = ()) -> DataFrame:
     """One row per try of a source.
 
@@ -40,16 +45,25 @@ def qos_explode(df: DataFrame, json_col: str = "jsonLog", broken: str = "drop",
     schema = QOS_DOCUMENT.replace("struct<", "struct<_broken:string,", 1)
     parsed = F.from_json(F.col(json_col), schema, {"columnNameOfCorruptRecord": "_broken"})
     doc = df.select(*keep, parsed.alias("d"))
-    doc = doc.withColumn("_ok", F.col("d").isNotNull() & F.col("d._broken").isNull())
-    if broken == "drop":
-        doc = doc.where("_ok")
-    sources = doc.select(
-        *keep, "_ok", "d", F.col("d.playqos").isNotNull().alias("playQos"), F.explode_outer("d.playqos").alias("s")
+    ok = F.col("d").isNotNull() & F.col("d._broken").isNull()
+    # only the flat fields travel with the exploded rows, not the document
+    flat = doc.select(
+        *keep, ok.alias("_ok"), F.coalesce(F.col("d.userId"), F.lit("")).alias("userId"),
+        *[F.coalesce(F.col(f"d.{c}"), F.lit("")).alias(c) for c in _TOP_TEXT],
+        *[F.coalesce(F.col(f"d.{c}"), F.lit(MISSING_NUMBER)).alias(c) for c in _TOP_NUMBERS],
+        F.col("d.playqos").isNotNull().alias("playQos"),
+        F.when(ok, F.coalesce(F.transform("d.playqos", _marked), F.array(_marked(F.lit(None))))).alias("_sources"),
     )
+    top = ["userId", *_TOP_TEXT, *_TOP_NUMBERS, "playQos"]
+    sources = flat.select(*keep, "_ok", *top, F.explode_outer("_sources").alias("s"))
+    if broken == "drop":
+        # a condition on the exploded value: one on the document itself would
+        # be moved below the parsing and parse every text twice
+        sources = sources.where(F.col("s.real").isNotNull())
     tries = sources.select(
-        *keep, "_ok", "d", "playQos", "s",
-        (F.col("playQos") & F.col("s.sourcecases").isNotNull()).alias("sourceCases"),
-        F.explode_outer("s.sourcecases").alias("t"),
+        *keep, "_ok", *top, F.col("s.v").alias("s"),
+        (F.col("playQos") & F.col("s.v.sourcecases").isNotNull()).alias("sourceCases"),
+        F.explode_outer("s.v.sourcecases").alias("t"),
     )
 
     def text(path: str) -> Column:
@@ -58,16 +72,12 @@ def qos_explode(df: DataFrame, json_col: str = "jsonLog", broken: str = "drop",
     def number(path: str) -> Column:
         return F.coalesce(F.col(path), F.lit(MISSING_NUMBER))
 
-    blank = F.lit("")
     code = F.when(~F.col("_ok"), F.lit(0)).otherwise(F.col("t.playCode"))
     return tries.select(
         *keep,
-        F.coalesce(F.col("d.userId"), blank).alias("userId"),
-        *[F.coalesce(F.col(f"d.{c}"), blank).alias(c) for c in _TOP_TEXT],
-        *[number(f"d.{c}").alias(c) for c in _TOP_NUMBERS],
-        "playQos",
+        *top,
         "sourceCases",
-        *[(F.when(F.col("_ok"), text(f"s.{c}")).otherwise(blank)).alias(c) for c in _SOURCE_TEXT],
+        *[(F.when(F.col("_ok"), text(f"s.{c}")).otherwise(F.lit(""))).alias(c) for c in _SOURCE_TEXT],
         number("s.sourceIndex").alias("sourceIndex"),
         code.alias("playCode"),
         text("t.playerType").alias("playerType"),

@@ -379,3 +379,14 @@ def presence(t):
         pv_uv(t.login, ["productModel"]).select("productModel", F.col("uv").alias("logins")),
     ]
     return funnel_join(parts, ["productModel"], how="full")
+
+
+@report("province_names", "U24")
+def province_names(t):
+    """Cut and foreign names; the stand-in takes them from the nation number."""
+    raw = F.when(F.col("n_nationkey") == 0, "黑龙").when(F.col("n_nationkey") == 1, "内蒙").when(F.col("n_nationkey") == 2, "北京").when(
+        F.col("n_nationkey") > 3, F.col("n_name")
+    )
+    fixed = N.full_province(raw)
+    people = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return people.groupBy(fixed.alias("province"), N.home_province(fixed).alias("area")).agg(F.count(F.lit(1)).alias("n"))

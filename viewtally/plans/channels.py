@@ -17,7 +17,7 @@ def started():
     return F.col("event").isin(*START_EVENTS)
 
 
-@report("classification_plays", "C2")
+@report("classification_plays", "C2", "A1", "F1")
 def classification_plays(t):
     return pv_uv(t.play, ["main_category", "second_category"], where=started())
 
