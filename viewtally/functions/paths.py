@@ -23,8 +23,9 @@ def _null() -> Column:
 
 
 def _group(c: Column, pattern: str, group: int) -> Column:
-    """A regex group; null without a match, '' for an empty group."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    """A regex group of the first match; null without a match, '' for an empty
+    group. One evaluation of the pattern, unlike a test and an extract."""
+    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(group)), F.lit(0))
 
 
 def _contains_any(c: Column, marks: Sequence[str]) -> Column:
@@ -251,36 +252,33 @@ def list_category_3x(path_main) -> Column:
 
     retrieval, search = page_before("retrieval|筛选"), page_before("search|搜索")
     recommended = rf"home\*recommendation\*\d-({pages})\*(.*)"
-    full = rf"{start}({pages})\*([a-zA-Z0-9&一-龥]+)"
-    short = rf"({pages})\*([a-zA-Z0-9&一-龥]+)"
-
-    def levels(*values: Column) -> Column:
-        padded = [*values, _null(), _null()][:3]
-        return F.struct(*[v.alias(f"level{i}") for i, v in enumerate(padded, start=1)])
-
-    other = levels(
-        F.coalesce(_group(path, full, 1), _group(path, short, 1)),
-        F.coalesce(_group(path, full, 2), _group(path, short, 2)),
-    )
-    # one CASE with a struct per rule: each test and each rule's patterns are
-    # evaluated once, for the rows the rule is for
-    return (
-        F.when(path.isNull() | _contains_any(path, V.NO_LIST_PAGE_MARKS), levels(_null()))
-        .when(~_contains_any(path, V.LIST_PAGE_MARKS), levels(_null()))
-        .when(path.contains("kids"), levels(*kids))
-        .when(path.contains("mv_category") | path.contains("mv_poster"), levels(*music))
-        .when(path.contains("sports*"), levels(*sports[:3]))
+    full = rf"{start}(?:{pages})\*[a-zA-Z0-9&一-龥]+"
+    short = rf"(?:{pages})\*[a-zA-Z0-9&一-龥]+"
+
+    # the full form anywhere, else the first short form; ends in page*tab
+    found = F.regexp_extract(path, rf"^.*?{full}|{short}", 0)
+    none = F.expr("cast(array() as array<string>)")
+    # one CASE with the levels of each rule: every test and pattern is
+    # evaluated once, and only for the rows its rule is for
+    levels = (
+        F.when(path.isNull() | _contains_any(path, V.NO_LIST_PAGE_MARKS), none)
+        .when(~_contains_any(path, V.LIST_PAGE_MARKS), none)
+        .when(path.contains("kids"), F.array(*kids))
+        .when(path.contains("mv_category") | path.contains("mv_poster"), F.array(*music))
+        .when(path.contains("sports*"), F.array(*sports[:3]))
         .when(
             path.contains("retrieval") | path.contains("筛选"),
-            levels(retrieval, F.when(retrieval.isNotNull(), F.lit(V.RETRIEVAL_LABEL))),
+            F.array(retrieval, F.when(retrieval.isNotNull(), F.lit(V.RETRIEVAL_LABEL))),
         )
         .when(
             path.contains("search") | path.contains("搜索"),
-            levels(search, F.when(search.isNotNull(), F.lit(V.SEARCH_LABEL))),
+            F.array(search, F.when(search.isNotNull(), F.lit(V.SEARCH_LABEL))),
         )
-        .when(path.contains("home*recommendation"), levels(_group(path, recommended, 1), _group(path, recommended, 2)))
-        .otherwise(other)
+        .when(path.contains("home*recommendation"), F.array(_group(path, recommended, 1), _group(path, recommended, 2)))
+        .otherwise(F.split(F.substring_index(found, "-", -1), r"\*"))
     )
+    first, second, third = (F.get(levels, F.lit(i)) for i in range(3))
+    return F.struct(F.when(first != "", first).alias("level1"), second.alias("level2"), third.alias("level3"))
 
 
 def list_category_2x(path) -> Column:
