@@ -1,6 +1,7 @@
 """Every report against its check, and every survey row against a report."""
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -17,9 +18,17 @@ ROW_COUNTS = {
 }
 
 
+@pytest.fixture(scope="module")
+def outcomes(spark, con, sf_dir):
+    """All comparisons, several at a time; a test waits for its own."""
+    queries_, checks = queries(), oracle_sql()
+    with ThreadPoolExecutor(8) as pool:
+        yield {n: pool.submit(lambda n=n: compare(queries_[n](spark, sf_dir), con.cursor(), checks[n])) for n in NAMES}
+
+
 @pytest.mark.parametrize("name", NAMES)
-def test_report_equals_check(name, spark, con, sf_dir):
-    diff = compare(queries()[name](spark, sf_dir), con, oracle_sql()[name])
+def test_report_equals_check(name, outcomes):
+    diff = outcomes[name].result()
     assert not diff, "\n".join(diff)
 
 
