@@ -127,9 +127,9 @@ def test_threshold_curve_equals_loop(spark):
 
 @pytest.mark.parametrize("seconds", [1, 7, 3600])
 def test_gaps_do_not_depend_on_slices(spark, seconds):
-    times = [0, 3, 3, 10, 50, 4000, 9000]
+    times = [0, 3, 3, 3, 10, 50, 4000, 9000]
     df = spark.createDataFrame([("k", t) for t in times] + [("single", 5)], "k string, s bigint").withColumn("ts", F.timestamp_seconds("s"))
-    got = sorted(r.gap_seconds for r in event_gaps(df, ["k"], "ts", seconds).collect())
+    got = sorted(g for r in event_gaps(df, ["k"], "ts", seconds).collect() for g in [r.gap_seconds] * r.times)
     assert got == sorted(b - a for a, b in zip(times, times[1:]))
 
 
@@ -229,3 +229,27 @@ def test_reconcile(spark):
     b = spark.createDataFrame([("x", 1), (None, 2), ("y", 3)], "k string, n int")
     assert rows(reconcile(a, b)) == [("x", 1, 2, 1), ("y", 3, 0, 1)]
     assert reconcile(a, a).count() == 0
+
+
+def test_counts_read_only_their_columns(spark, tmp_path):
+    path = str(tmp_path / "log")
+    data = [("u", "startplay", "movie", "v", 1), ("u", "userexit", "movie", "v", 2)]
+    spark.createDataFrame(data, "userId string, event string, contentType string, videoSid string, duration int").write.parquet(path)
+    out = pv_uv(spark.read.parquet(path), ["contentType"], where=F.col("event") == "startplay")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event,startplay)" in plan
+    assert "ReadSchema: struct<userId:string,event:string,contentType:string>" in plan
+
+
+def test_one_scan_for_starts_and_durations(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.createDataFrame([("u", "startplay", 1)], "userId string, event string, duration int").write.parquet(path)
+    plan = pv_uv_duration(spark.read.parquet(path), ["event"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 1 and "Expand" not in plan and "Join" not in plan
+
+
+def test_hot_key_is_one_row_per_task_before_the_shuffle(spark):
+    """Both grouping steps combine before their exchange."""
+    df = spark.range(1000).select(F.lit("hot").alias("k"), F.lit("u").alias("userId"))
+    plan = pv_uv(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan and "partial_sum" in plan

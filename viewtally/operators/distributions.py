@@ -87,26 +87,36 @@ def threshold_curve(
 
 
 def event_gaps(
-    df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int = 3600
+    df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int = 86400
 ) -> DataFrame:
-    """Seconds between successive events of a key: (keys, ts, gap_seconds).
+    """Seconds between successive events of a key, with how often each occurs
+    at that moment: (keys, ts, gap_seconds, times).
 
-    One key may hold a third of the log, so a key is never sorted in one task:
-    events are compared within time slices, and the first event of a slice
-    with the last one of the slice before, of which there is one row each.
+    Events of a key in the same second become one row with a count first
+    (combined on the map side), so a key that holds a third of the log is at
+    most 86,400 rows a day; ``times`` of a zero gap is the count less one.
+    The rest is compared within time slices, and the first event of a slice
+    with the last one of the slice before, of which there is one row each, so
+    that no task sorts a key over the whole calendar.
     """
     keys = list(keys)
-    sliced = df.where(F.col(ts).isNotNull()).select(
-        *keys, F.col(ts).alias("_ts"), F.floor(F.unix_timestamp(ts) / slice_seconds).alias("_slice")
+    seconds = (
+        df.where(F.col(ts).isNotNull())
+        .groupBy(*keys, F.unix_timestamp(ts).alias("_s"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_slice", F.floor(F.col("_s") / slice_seconds))
     )
-    within = Window.partitionBy(*keys, "_slice").orderBy("_ts")
-    inner = sliced.withColumn("_prev", F.lag("_ts").over(within)).where(F.col("_prev").isNotNull())
-    ends = sliced.groupBy(*keys, "_slice").agg(F.min("_ts").alias("_ts"), F.max("_ts").alias("_last"))
+    within = Window.partitionBy(*keys, "_slice").orderBy("_s")
+    inner = seconds.withColumn("_prev", F.lag("_s").over(within))
+    ends = seconds.groupBy(*keys, "_slice").agg(F.min("_s").alias("_s"), F.max("_s").alias("_last"))
     across = Window.partitionBy(*keys).orderBy("_slice")
-    outer = ends.withColumn("_prev", F.lag("_last").over(across)).where(F.col("_prev").isNotNull())
-    columns = [*keys, "_ts", "_prev"]
-    return inner.select(*columns).unionByName(outer.select(*columns)).select(
-        *keys,
-        F.col("_ts").alias(ts),
-        (F.unix_timestamp("_ts") - F.unix_timestamp("_prev")).alias("gap_seconds"),
-    )
+    outer = ends.withColumn("_prev", F.lag("_last").over(across))
+    same = inner.where(F.col("_n") > 1).select(*keys, "_s", F.lit(0).cast("bigint").alias("gap_seconds"), (F.col("_n") - 1).alias("times"))
+    steps = [
+        part.where(F.col("_prev").isNotNull()).select(
+            *keys, "_s", (F.col("_s") - F.col("_prev")).alias("gap_seconds"), F.lit(1).cast("bigint").alias("times")
+        )
+        for part in (inner, outer)
+    ]
+    every = same.unionByName(steps[0]).unionByName(steps[1])
+    return every.select(*keys, F.timestamp_seconds("_s").alias(ts), "gap_seconds", "times")

@@ -183,10 +183,10 @@ def distinct_users(t):
 
 @report("gaps_between_events", "W6", "D14", "U52")
 def gaps(t):
-    between = event_gaps(t.login.withColumn("datetime", F.date_trunc("second", "datetime")), ["userId", "k"], "datetime")
+    between = event_gaps(t.login, ["userId", "k"], "datetime")
     return between.groupBy("userId", "k").agg(
-        F.count(F.lit(1)).alias("gaps"), F.min("gap_seconds").alias("shortest"),
-        F.max("gap_seconds").alias("longest"), F.sum("gap_seconds").alias("span"),
+        F.sum("times").alias("gaps"), F.min("gap_seconds").alias("shortest"),
+        F.max("gap_seconds").alias("longest"), F.sum(F.col("gap_seconds") * F.col("times")).alias("span"),
     )
 
 

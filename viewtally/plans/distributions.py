@@ -105,9 +105,9 @@ def ambiguous(t):
 
 @report("gaps_of_same_video", "D14", "W6")
 def gaps(t):
-    return event_gaps(t.play.where(F.col("userId").isNotNull()), ["userId", "videoSid"], "datetime", slice_seconds=7200).groupBy("gap_seconds").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    known = t.play.where(F.col("userId").isNotNull())
+    between = event_gaps(known, ["userId", "videoSid"], "datetime")
+    return between.groupBy("gap_seconds").agg(F.sum("times").alias("n"))
 
 
 @report("counts_of_any_key", "D15")

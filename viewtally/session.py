@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split skewed join partitions even where that costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
