@@ -111,12 +111,14 @@ def event_gaps(
     ends = seconds.groupBy(*keys, "_slice").agg(F.min("_s").alias("_s"), F.max("_s").alias("_last"))
     across = Window.partitionBy(*keys).orderBy("_slice")
     outer = ends.withColumn("_prev", F.lag("_last").over(across))
-    same = inner.where(F.col("_n") > 1).select(*keys, "_s", F.lit(0).cast("bigint").alias("gap_seconds"), (F.col("_n") - 1).alias("times"))
-    steps = [
-        part.where(F.col("_prev").isNotNull()).select(
-            *keys, "_s", (F.col("_s") - F.col("_prev")).alias("gap_seconds"), F.lit(1).cast("bigint").alias("times")
-        )
-        for part in (inner, outer)
-    ]
-    every = same.unionByName(steps[0]).unionByName(steps[1])
+
+    def gap(seconds: Column, times: Column) -> Column:
+        return F.struct(seconds.cast("bigint").alias("gap_seconds"), times.cast("bigint").alias("times"))
+
+    step = F.when(F.col("_prev").isNotNull(), gap(F.col("_s") - F.col("_prev"), F.lit(1)))
+    same = F.when(F.col("_n") > 1, gap(F.lit(0), F.col("_n") - 1))
+    found = F.explode(F.filter(F.array(step, same), lambda g: g.isNotNull())).alias("g")
+    every = inner.select(*keys, "_s", found).unionByName(
+        outer.where(F.col("_prev").isNotNull()).select(*keys, "_s", step.alias("g"))
+    ).select(*keys, "_s", "g.gap_seconds", "g.times")
     return every.select(*keys, F.timestamp_seconds("_s").alias(ts), "gap_seconds", "times")
