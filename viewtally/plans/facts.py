@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
-from ..functions import scalars as S
 from ..operators.counts import pv_uv
 from ..operators.enrich import dim_enrich, network_enrich
 from ..operators.facts import play_fact

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import periods as D
 from ..functions import scalars as S
 from ..functions import values as V
-from ..operators.counts import funnel_join, new_active_total, pv_uv, pv_uv_duration, running_total, users_where, with_totals
+from ..operators.counts import funnel_join, new_active_total, pv_uv, running_total, users_where
 from ..operators.distributions import count_histogram
 from ..operators.enrich import brand_enrich, mac_brand_enrich, network_enrich
 from ..operators.quality import blacklist_filter

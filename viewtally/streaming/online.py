@@ -43,7 +43,7 @@ def pv_uv_stream(
     State per window is one sketch by default. ``exact=True`` counts users
     exactly, but then the stream must first be reduced to one row per window,
     key and user, which ``dropDuplicatesWithinWatermark`` bounds in time; the
-    rows then carry no pv.
+    rows then carry no pv, and ``late`` must be at least as long as ``every``.
     """
     watermarked = _watermarked(events, ts, late)
     if exact and events.isStreaming:
