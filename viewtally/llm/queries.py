@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtally.llm import bpe, language
+from viewtally.llm import bpe, decontamination, language, near_duplicates, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,3 +43,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit_language_model(docs.where(remainder("doc_id", 5) != 0))
     found = language.identify_language(docs, model, keep=["doc_id"])
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document: texts of equal words, and texts linked by a similarity of 0.8 or more."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with weak candidates that complementary parts confirm."""
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
