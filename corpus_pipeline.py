@@ -9,10 +9,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from viewtally.llm import bpe, language
-from viewtally.llm.queries import VOCABULARY_FILE, remainder
+from viewtally.llm import bpe, decontamination, language, near_duplicates, secrets
+from viewtally.llm.queries import VOCABULARY_FILE, remainder, table
 from viewtally.session import ensure_checkpoint_dir
 
 #: Text that needs more bits for each byte than writing the bytes down is in none of the learned languages.
@@ -27,6 +28,32 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.select(*docs.columns)
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every class of near duplicates, and documents without an id.
+
+    Rows of one id are one document: the one with the first text stays.
+    """
+    classes = near_duplicates.near_duplicates(docs).where("doc_id IS NOT NULL")
+    ids = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n"))
+    gone = ids.where("class_id <> doc_id").select("doc_id")
+    repeated = ids.where("class_id = doc_id AND n > 1").select("doc_id")
+    first = W.partitionBy("doc_id").orderBy("text")
+    single = docs.join(gone.unionAll(repeated), "doc_id", "left_anti").select(*docs.columns)
+    one_of = docs.join(repeated, "doc_id", "left_semi").withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return single.unionAll(one_of.select(*docs.columns))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the table ``benchmark``."""
+    return decontamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in the place of each secret; ``n_chars`` follows the text."""
+    hidden = secrets.redact_secrets(docs)
+    return hidden.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ranks of each text, their number, and the digests of ids and of the decoded bytes."""
     vocabulary = bpe.load_vocabulary(VOCABULARY_FILE)
@@ -35,6 +62,9 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("language_id", keep_known_languages),
+    ("near_dedup", keep_one_of_each),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", hide_secrets),
     ("byte_bpe", encode_texts),
 ]
 

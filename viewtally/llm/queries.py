@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtally.llm import bpe, decontamination, language, near_duplicates, secrets
+from viewtally.llm import bpe, decontamination, language, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -66,3 +66,44 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, with weak candidates that complementary parts confirm."""
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from three of four parts."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels.where(remainder("doc_id", 4) != 2))
+    scored = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return toxicity.with_decision(scored, remainder("doc_id", 4) == 2, 0.3)
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four of five parts."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels.where(remainder("doc_id", 5) != 0))
+    scored = quality.score_quality(docs, model, keep=["doc_id"])
+    return toxicity.with_decision(scored, remainder("doc_id", 5) == 0, 0.3)
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every length in tokens that occurs, what a context of that length holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = bpe.count_tokens(docs, bpe.load_vocabulary(VOCABULARY_FILE), keep=["doc_id"])
+    return token_counts.length_table(token_counts.length_histogram(counted))
+
+
+SHARD_NAMES = tuple(f"shard-{i:03d}" for i in range(64))
+
+
+@query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot and the shard of every document."""
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARD_NAMES)
+
+
+@query
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return nearest.nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
