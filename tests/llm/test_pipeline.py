@@ -1,0 +1,69 @@
+"""The pipeline against plain versions of its stages."""
+
+import base64
+import hashlib
+
+import brute
+import public_tokenizers
+import pytest
+import tiktoken
+from conftest import ODD
+
+import corpus_pipeline
+from __spark_entry__ import queries
+from viewtally.llm import language
+from viewtally.llm.queries import VOCABULARY_FILE, remainder
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(VOCABULARY_FILE, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_run_equals_plain_stages(spark, sf_dir, documents, library):
+    model = language.fit_language_model(documents.where(remainder("doc_id", 5) != 0))
+    spoken = language.identify_language(documents, model).where("lang_pred <> 'und' AND bits_per_byte <= 8.5")
+    rows = {r.doc_id: r for r in spoken.collect()}
+    classes = brute.near_classes([(i, r.text) for i, r in rows.items()])
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    wanted = {}
+    for i, r in rows.items():
+        if classes[i] == i and not brute.contamination(r.text, items)[1]:
+            text = brute.hidden(r.text)
+            ids = library.encode_ordinary(text)
+            wanted[i] = (
+                r.lang, r.source, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(),
+            )
+    got = queries()["pipeline"](spark, sf_dir).collect()
+    assert {r.doc_id: (r.lang, r.source, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == wanted
+    assert len(got) == len(wanted)
+
+
+def test_stages_keep_the_columns_and_stand_odd_rows(spark, sf_dir, odd, documents):
+    docs = documents.unionByName(odd.selectExpr("doc_id + 1000000 AS doc_id", "text", "lang", "source", "n_chars"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == documents.columns, name
+        left = {r.doc_id for r in out.where("doc_id >= 1000000 OR doc_id IS NULL").collect()}
+        every = {None if i is None else 1_000_000 + i for i, _ in ODD}
+        gone = every - left
+        if name == "language_id":
+            assert gone == {1_000_000 + i for i in (1, 2, 3, 4)} | (gone & {1_000_005, 1_000_006, 1_000_010})
+        elif name == "near_dedup":
+            assert gone == {1_000_009} and out.where("doc_id IS NULL").count() == 1
+        else:
+            assert gone == set()
+
+
+def test_empty_documents(spark, sf_dir, odd):
+    docs = odd.where("doc_id < 0")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.count() == 0
+
+
+def test_near_dedup_keeps_one_row_of_a_repeated_id(spark, sf_dir, make_docs):
+    docs = make_docs([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "other words are in this one"), (2, "and yet another text of that id")])
+    rows = corpus_pipeline.keep_one_of_each(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [(1, "a b c d e f g"), (2, "and yet another text of that id")]

@@ -87,3 +87,19 @@ SQL["op9_secrets"] = f"""
            sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
     FROM documents d LEFT JOIN told USING (doc_id)
 """
+
+
+def _placement() -> str:
+    from viewtally.llm.queries import SHARD_NAMES
+    from viewtally.llm.sharding import SLOTS, lookup_table
+
+    table = ",".join(map(str, lookup_table(SHARD_NAMES)))
+    slot = f"('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % {SLOTS}"
+    return f"""
+        WITH slots AS (SELECT unnest(string_split('{table}', ',')) AS number, unnest(range({SLOTS})) AS slot)
+        SELECT doc_id, slot::INTEGER AS slot, 'shard-' || lpad(number, 3, '0') AS shard
+        FROM (SELECT doc_id, {slot} AS slot FROM documents) JOIN slots USING (slot)
+    """
+
+
+SQL["op5_sharding"] = _placement()

@@ -70,7 +70,7 @@ def length_table(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def truncated_totals(histogram: DataFrame, limits: Sequence[int]) -> DataFrame:
     """(context_limit, tokens, docs_cut) for any limits, also between lengths that occur."""
-    each = histogram.select("length", "docs", F.explode(F.array(*[F.lit(int(x)) for x in limits])).cast("long").alias("context_limit"))
+    each = histogram.select("length", "docs", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])).alias("context_limit"))
     return each.groupBy("context_limit").agg(
         F.sum(F.least("length", "context_limit") * F.col("docs")).alias("tokens"),
         F.sum(F.when(F.col("length") > F.col("context_limit"), F.col("docs")).otherwise(0)).alias("docs_cut"),
