@@ -100,9 +100,9 @@ check("paths_3x", f"SELECT template, {', '.join(f'{by_template(i + 1)} AS {n}' f
 PAGES = [
     (0, "classification", "jilu", "jilu", T), (1, "my_tv", "history", None, None),
     (2, "my_tv", "collect", "accountcenter_home", "X1"), (3, "recommendation", "1", "hot", U),
-    (4, "my_tv", "tv", "tv", "搜索"), (5, "my_tv", "tv", None, None), (6, "classification", "kids", "kids_home", f"'kids_anim*' || {A}"),
+    (4, "my_tv", "tv", "tv", "search"), (5, "my_tv", "tv", None, None), (6, "classification", "kids", "kids_home", f"'kids_anim*' || {A}"),
     (7, "classification", "mv", "mv", "mvCategoryHomePage"), (8, None, None, None, None),
-    (9, "classification", "3", None, "League"), (10, "classification", "movie", "movie", "筛选"),
+    (9, "classification", "3", None, "League"), (10, "classification", "movie", "movie", "retrieval"),
     (11, "hotSubject", None, None, None), (12, "taste", None, None, None), (13, None, None, None, None), (14, None, None, None, None),
     (15, "live", None, "mv", "function"),
 ]

@@ -6,8 +6,8 @@ COLS = ("APP_VERSION_NAME", "DATE_CODE", "PRODUCT_CODE")
 
 
 def trend(cap):
-    base = f"""(SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY MAC, APP_VERSION_NAME, APP_VERSION_CODE, DATE_CODE, PRODUCT_CODE, CRASH_KEY, STACK_TRACE) AS c FROM crash
- WHERE STACK_TRACE <> '' AND length(APP_VERSION_NAME) = 5 AND MAC NOT IN (SELECT mac FROM account WHERE userType = 3)) WHERE {f'c <= {cap}' if cap else 'TRUE'})"""
+    base = f"""(SELECT * FROM (SELECT * REPLACE (replace(MAC, ':', '') AS MAC), count(*) OVER (PARTITION BY replace(MAC, ':', ''), APP_VERSION_NAME, APP_VERSION_CODE, DATE_CODE, PRODUCT_CODE, CRASH_KEY, STACK_TRACE) AS c FROM crash
+ WHERE STACK_TRACE <> '' AND length(APP_VERSION_NAME) = 5 AND length(CAST(DATE_CODE AS VARCHAR)) <= 20 AND replace(MAC, ':', '') NOT IN (SELECT replace(mac, ':', '') FROM account WHERE userType = 3)) WHERE {f'c <= {cap}' if cap else 'TRUE'})"""
     parts = []
     for kind, cond in (("All", "TRUE"), ("OOM", "CRASH_KEY LIKE '%OutOfMemoryError%'"), ("NPE", "CRASH_KEY LIKE '%NullPointerException%'")):
         for level in LEVELS:

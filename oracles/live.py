@@ -14,10 +14,10 @@ check("live_categories", f"""SELECT p.*, coalesce(view_num, 0) AS view_num, coal
 FROM ({pv_uv('menued', ['day', 'category'], S, pv='play_num', uv='play_user')}) p
 LEFT JOIN ({pv_uv('menued', ['day', 'category'], "event = 'switchchannel'", pv='view_num', uv='view_user')}) v USING (day, category)
 LEFT JOIN (SELECT CAST(day AS VARCHAR) AS day, category, CAST(sum(duration) AS BIGINT) AS duration FROM menued WHERE duration BETWEEN 0 AND 36000 GROUP BY 1, 2) d USING (day, category)""")
-check("live_channels", duration("menued", ["day", "sourceType", "category", "channelSid"], high=36000, how="left"))
+check("live_channels", duration("menued", ["day", "sourceType", "category", "channelSid"], low=10, high=36000, rows="event = 'switchchannel'"))
 check("live_starts_per_minute", pv_uv("livetv", ["channelSid", "CAST(date_trunc('minute', datetime) AS VARCHAR) AS minute"], S, uv="users"))
 check("live_occupancy", """SELECT sourceType, channelSid, CAST(make_timestamp(CAST(slot AS BIGINT) * 600000000) AS VARCHAR) AS slot, count(DISTINCT userId) AS uv FROM (
-  SELECT *, unnest(range((e - duration) // 600, e // 600 + 1)) AS slot FROM (SELECT *, CAST(floor(epoch(datetime)) AS BIGINT) AS e FROM livetv WHERE event <> 'startplay' AND duration BETWEEN 0 AND 36000)) GROUP BY 1, 2, 3""")
+  SELECT *, unnest(range((e - duration) // 600, e // 600 + 1)) AS slot FROM (SELECT *, CAST(floor(epoch(datetime)) AS BIGINT) AS e FROM livetv WHERE event = 'switchchannel' AND duration BETWEEN 10 AND 36000)) GROUP BY 1, 2, 3""")
 check("live_source_types", f"""SELECT p.*, coalesce(uv_switch, 0) AS uv_switch FROM ({duration('livetv', ['day', 'sourceType'], high=36000, dur_users='dur_users')}) p
 LEFT JOIN ({pv_uv('livetv', ['day', 'sourceType'], "event = 'switchchannel'", uv='uv_switch')}) USING (day, sourceType)""".replace("SELECT p.*, coalesce(uv_switch, 0)", "SELECT p.day, p.sourceType, p.pv, p.uv, p.duration, p.dur_users, coalesce(uv_switch, 0)"))
 check("live_source_types_by_hour", "SELECT CAST(hour(datetime) AS INT) AS hour, sourceType, count(DISTINCT userId) AS uv FROM livetv WHERE event = 'startplay' GROUP BY 1, 2")

@@ -1,6 +1,6 @@
 from .core import EXTRA, START, check, duration, one_per_key, pv_uv, pv_uv_null
 
-VIDEOS = pv_uv("play", ["contentType", "videoSid"], START + " AND length(videoSid) <= 50")
+VIDEOS = pv_uv("play", ["contentType", "videoSid"], START)
 check("video_plays_of_channel", VIDEOS)
 check("top_videos_of_channel", f"SELECT *, row_number() OVER (PARTITION BY contentType ORDER BY pv DESC, videoSid) AS rank FROM ({VIDEOS}) QUALIFY rank <= 5")
 check("top_videos_with_ties", f"SELECT *, rank() OVER (PARTITION BY contentType ORDER BY uv DESC) AS rank FROM ({VIDEOS}) QUALIFY rank <= 3")

@@ -58,6 +58,8 @@ check("retention_by_city_level", retention(f"""(SELECT o.*, CASE n_regionkey WHE
 check("retention_listed_models", retention(f"(SELECT *, CASE WHEN {LISTED} THEN 'listed' ELSE 'other' END AS kind FROM opened)", ["kind"]))
 check("retention_listed_models_each", retention(f"(SELECT * FROM opened WHERE {LISTED})", ["product_model"]))
 check("retention_one_vendor_by_channel", retention("(SELECT * FROM opened WHERE product_model = 'model3')", ["promotion_channel"]))
-check("version_fall_back", f"""SELECT CAST(day AS VARCHAR) AS day, count(*) AS users, count(*) FILTER (mac IN (SELECT mac FROM account WHERE {AV} < '3.1.4')) AS fallen_back,
- count(*) FILTER (mac IN (SELECT mac FROM account WHERE {AV} < '3.1.4')) / count(*) AS rate FROM (SELECT DISTINCT mac, day FROM seen WHERE version >= '3.1.4') GROUP BY 1""")
+check("version_fall_back", f"""SELECT CAST(l.day AS VARCHAR) AS day, o.n AS "offset", count(*) AS users,
+ count(*) FILTER (EXISTS (SELECT 1 FROM account a WHERE a.mac = l.mac AND {AV} < '3.1.4' AND CAST(a.openTime AS DATE) <= l.day + o.n)) AS fallen_back,
+ count(*) FILTER (EXISTS (SELECT 1 FROM account a WHERE a.mac = l.mac AND {AV} < '3.1.4' AND CAST(a.openTime AS DATE) <= l.day + o.n)) / count(*) AS rate
+ FROM (SELECT DISTINCT mac, day FROM seen WHERE version >= '3.1.4') l CROSS JOIN (SELECT unnest([0, 1, 3, 7, 14]) AS n) o GROUP BY 1, 2""")
 check("member_month_retention", retention("(SELECT * FROM member WHERE good_sk = 0 AND is_first_cont_mon_order = 1)", offsets=(1, 2, 3), user="account_sk", activity="(SELECT * FROM member WHERE good_sk = 0)", unit="month"))

@@ -25,7 +25,7 @@ check("details_and_plays_per_period", f"""SELECT period, start, coalesce(detail_
 check("users_per_version", f"SELECT {AV} AS version, count(DISTINCT user_id) AS users FROM account GROUP BY 1")
 check("active_and_new_per_brand", side_by_side({"active_users": "SELECT brand, count(DISTINCT mac) AS active_users FROM branded_login GROUP BY 1", "new_users": "SELECT brand, count(DISTINCT mac) AS new_users FROM branded_account GROUP BY 1"}, ["brand"]))
 check("channel_share_of_brand", f"SELECT *, n / sum(n) OVER (PARTITION BY brand) AS share FROM (SELECT brand, {NORMA}, count(DISTINCT user_id) AS n FROM branded_account GROUP BY 1, 2)")
-check("new_users_on_other_devices", "SELECT promotion_channel, count(DISTINCT user_id) AS n FROM account WHERE product_model IN ('model1', 'model2', 'model3') GROUP BY 1")
+check("new_users_on_other_devices", "SELECT promotion_channel, count(DISTINCT mac) AS n FROM account WHERE product_model IN ('model1', 'model2', 'model3') GROUP BY 1")
 check("total_users_per_channel", f"SELECT promotion_channel, count(DISTINCT user_id) AS n FROM account WHERE day <= {D} GROUP BY 1")
 check("ages", """SELECT CASE WHEN age = '其他' THEN '其他' ELSE birth END AS year, age, count(*) AS n FROM (SELECT birth, CASE WHEN birth = '' OR birth LIKE '%月%' THEN '其他' WHEN a <= 0 THEN NULL WHEN a <= 19 THEN '19以下' WHEN a <= 29 THEN '20~29'
  WHEN a <= 39 THEN '30~39' WHEN a <= 49 THEN '40~49' WHEN a > 49 THEN '50以上' END AS age FROM (SELECT birth, 2024 - TRY_CAST(birth AS INT) AS a FROM person)) WHERE age IS NOT NULL GROUP BY 1, 2""")

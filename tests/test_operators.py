@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from viewtally.operators.counts import explode_contained, funnel_join, pv_uv, pv_uv_duration, with_totals
+from viewtally.operators.counts import explode_contained, funnel_join, play_duration, pv_uv, pv_uv_duration, with_totals
 from viewtally.operators.distributions import event_gaps, threshold_curve
 from viewtally.operators.enrich import dim_enrich, lookup_ranges
 from viewtally.operators.identity import dedup_identity, same_device_keys
@@ -40,10 +40,10 @@ def test_starts_and_durations(spark):
         ("two", "a", "playview", 7),
     ]
     df = spark.createDataFrame(data, "k string, userId string, event string, duration bigint")
-    inner = {r.k: (r.pv, r.uv, r.duration) for r in pv_uv_duration(df, ["k"]).collect()}
+    inner = {r.k: (r.pv, r.uv, r.duration) for r in play_duration(df, ["k"]).collect()}
     assert inner == {"both": (1, 1, 10810), "two": (1, 1, 7)}
-    assert {r.k for r in pv_uv_duration(df, ["k"], how="left").collect()} == {"both", "starts", "two"}
-    assert {r.k for r in pv_uv_duration(df, ["k"], how="full").collect()} == {"both", "starts", "ends", "two"}
+    assert {r.k for r in play_duration(df, ["k"], how="left").collect()} == {"both", "starts", "two"}
+    assert {r.k for r in play_duration(df, ["k"], how="full").collect()} == {"both", "starts", "ends", "two"}
 
 
 def test_null_user_rules(spark):
@@ -155,7 +155,7 @@ def test_non_play_keeps_empty_groups(spark):
 def test_occupancy_slots_over_midnight(spark):
     data = [("u1", "2024-01-01 10:27:00", 24 * 60), ("u2", "2024-01-02 00:05:00", 600), ("u3", "2024-01-01 10:00:00", 99999)]
     df = spark.createDataFrame(data, "userId string, t string, duration bigint").withColumn("datetime", F.to_timestamp("t"))
-    got = {(str(r.slot), r.uv) for r in occupancy(df.withColumn("k", F.lit("c")), "datetime", "duration", ["k"]).collect()}
+    got = {(str(r.slot), r.uv) for r in occupancy(df.withColumn("k", F.lit("c")), "datetime", "duration", ["k"], high=36000).collect()}
     assert got == {("2024-01-01 10:00:00", 1), ("2024-01-01 10:10:00", 1), ("2024-01-01 10:20:00", 1), ("2024-01-01 23:50:00", 1), ("2024-01-02 00:00:00", 1)}
 
 

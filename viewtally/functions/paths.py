@@ -418,14 +418,13 @@ def page_columns_3x(path_main, path_sub, path_special, page_details: Sequence[st
     third = path_part(main, 3, 1)
     access = _only(path_part(sub, 1, 1), V.SUB_PATHS)
     kind = _only(path_part(special, 1, 1), V.SPECIAL_PROPERTIES)
-    kids_tab = F.when(path_part(main, 3) == "search", F.lit(V.KIDS_SEARCH_LABEL)).otherwise(
-        _only(path_part(main, 3), page_details)
-    )
+    kids_mark = path_part(main, 3, 2)
+    kids_search = (kids_mark.isNull() & (path_part(main, 4, 1) == "search")) | (kids_mark == V.KIDS_SEARCH_LABEL)
     detail = (
         F.when(tab.isNotNull(), _only(tab, page_details))
-        .when(page == "kids_home", kids_tab)
-        .when(third == "search", F.lit(V.SEARCH_LABEL))
-        .when(third == "retrieval", F.lit(V.RETRIEVAL_LABEL))
+        .when(third.isin("search", "retrieval"), third)
+        .when((page == "kids_home") & kids_search, F.lit(V.KIDS_SEARCH_LABEL))
+        .when(page == "kids_home", _only(path_part(main, 3), page_details))
     )
     rest = F.transform(
         F.slice(F.split(special, "-"), F.lit(2), F.greatest(path_length(special) - 1, F.lit(0))),
@@ -510,9 +509,12 @@ def launcher_position_label(index) -> Column:
 
 
 def launcher_location_label_3x(location) -> Column:
+    """Label of a location; only the channels are also spelled with ``site_``."""
     location = column(location)
     plain = F.regexp_replace(location, "^site_", "")
-    return F.when(location.isNotNull(), label_of(plain, V.LAUNCHER_LOCATION_LABELS_3X, V.OTHER))
+    known = (plain == location) | plain.isin(V.LAUNCHER_SITE_LOCATIONS_3X)
+    label = label_of(F.when(known, plain).otherwise(location), V.LAUNCHER_LOCATION_LABELS_3X, V.OTHER)
+    return F.when(location.isNotNull(), label)
 
 
 def launcher_location_label_2x(area, location) -> Column:

@@ -31,13 +31,14 @@ def banded(c, bounds: Sequence[tuple[int, str]], above: str) -> Column:
 
 
 def normalize_key(c, pattern: str | None = None, max_length: int | None = None) -> Column:
-    """null -> 'null', '' -> 'kong', not matching ``pattern`` -> 'corrupt'."""
+    """null -> 'null', '' -> 'kong', not matching ``pattern`` -> 'corrupt', over ``max_length`` -> 'toolong'."""
     c = column(c)
-    good = c if max_length is None else F.substring(c, 1, max_length)
     expr = F.when(c.isNull(), V.KEY_NULL).when(c == "", V.KEY_EMPTY)
     if pattern is not None:
         expr = expr.when(~c.rlike(pattern), V.KEY_CORRUPT)
-    return expr.otherwise(good)
+    if max_length is not None:
+        expr = expr.when(F.length(c) > max_length, V.KEY_LONG)
+    return expr.otherwise(c)
 
 
 def fits(c, max_length: int) -> Column:

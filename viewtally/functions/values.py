@@ -90,6 +90,10 @@ LAUNCHER_LOCATION_LABELS_3X = {
     "top_star": "明星榜", "top_collect": "收藏榜", "top_hot": "热播榜", "top_new": "新剧榜",
     "interest_location": "兴趣坐标", "setting": "设置", "search": "搜索", "messageCenter": "消息中心",
 }
+# Locations of which there is also a form with "site_" in front.
+LAUNCHER_SITE_LOCATIONS_3X = [
+    "live", "tv", "movie", "kids", "hot", "sport", "application", "jilu", "zongyi", "xiqu", "mv", "comic",
+]
 # Position 0..14 of the classification area, 2.x.
 CLASSIFICATION_POSITIONS_2X = [
     "搜索", "历史收藏", "电影", "电视", "直播", "资讯短片", "综艺", "设置", "少儿", "动漫", "音乐",
@@ -135,6 +139,7 @@ BRAND_NULL = "NULL"
 KEY_NULL = "null"
 KEY_EMPTY = "kong"
 KEY_CORRUPT = "corrupt"
+KEY_LONG = "toolong"
 
 # Wi-Fi addresses that identify no device.
 INVALID_WIFI_MACS = ["020000000000", "02:00:00:00:00:00"]

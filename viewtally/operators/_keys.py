@@ -47,5 +47,27 @@ def join_on_keys(left: DataFrame, right: DataFrame, names: Sequence[str], how: s
     return left.join(renamed, cond, how).drop(*[f"__r_{n}" for n in names])
 
 
+NULL_KEY_PARTS = 4096
+
+
+def null_key_salt(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for a row that can match; another number, by a hash of the row, if a key is null.
+
+    As one more key of an equi join (0 on the other side) it spreads rows with
+    null keys over all partitions instead of sending them to one.
+    """
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(missing, F.pmod(F.xxhash64(*plain), F.lit(NULL_KEY_PARTS)).cast("int") + 1).otherwise(0)
+
+
+def left_join_known(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Left join on equal names where rows with a null key match nothing, and do not meet in one task."""
+    salted = df.withColumn("_salt", null_key_salt(df, keys))
+    # always 0, but not a literal: that would turn the key into a condition on one side
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    return salted.join(side.withColumn("_salt", zero), [*keys, "_salt"], how).drop("_salt")
+
+
 def long_sum(c: Column) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")

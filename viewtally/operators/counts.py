@@ -10,6 +10,7 @@ and no row expansion.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,8 +77,8 @@ def pv_uv_duration(
     start: Column | None = None,
     dur: str = "duration",
     dur_rows: Column | None = None,
-    low: int | None = 0,
-    high: int | None = 10800,
+    low: int | None = None,
+    high: int | None = None,
     how: str = "inner",
     avg: str | None = None,
     digits: int | None = None,
@@ -87,8 +88,8 @@ def pv_uv_duration(
     """Starts, users and watched seconds per key, from one scan.
 
     Starts and durations sit on different rows: ``start`` marks the former,
-    ``dur_rows`` with ``low <= dur <= high`` the latter. The defaults are the
-    usual ones: starts are startplay/playview, durations all but startplay.
+    ``dur_rows`` the latter; bounds on the duration hold only where given. The
+    usual rows: starts are startplay/playview, durations all but startplay.
     ``how`` says which keys stay: "inner" those with both kinds of rows,
     "left" those with starts, "full" those with either. ``avg`` names a column
     for seconds per starting user, ``dur_users`` one for users with a duration.
@@ -131,6 +132,10 @@ def pv_uv_duration(
     return out.drop("_dur_users", "_any_start", "_any_valid")
 
 
+#: Starts and watched seconds of plays: durations of up to three hours count.
+play_duration = partial(pv_uv_duration, low=0, high=10800)
+
+
 def sum_of(df: DataFrame, value: str, keys: Key | Sequence[Key] = (), where=None, name: str = "total") -> DataFrame:
     """Grand sum of one column."""
     return _filtered(df, where).groupBy(*as_list(keys)).agg(F.sum(value).alias(name))

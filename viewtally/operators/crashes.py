@@ -12,7 +12,6 @@ from .rollups import ALL, rollup_all
 
 # Crash kinds by what the crash key contains.
 CRASH_KINDS = {"OOM": "java.lang.OutOfMemoryError", "NPE": "java.lang.NullPointerException"}
-NOISE_LIMIT = 1000
 
 
 def crash_counts(crashes: DataFrame, mac: str = "MAC") -> DataFrame:
@@ -27,21 +26,32 @@ def crash_trend(
     levels: Sequence[Sequence[str]],
     test_devices: DataFrame | Sequence[str] | None = None,
     kinds: Mapping[str, str] = CRASH_KINDS,
-    cap: int | None = NOISE_LIMIT,
-    version_length: int | None = 5,
+    cap: int | None = None,
+    version_length: int | None = None,
+    date_length: int | None = None,
     mac: str = "MAC",
 ) -> DataFrame:
     """Crashes and devices per kind at every level:
     (crash_type, level columns with 'All', crashes, devices).
 
-    Test devices are left out, so are reports without a stack. A (device,
-    version, product, date, crash key, stack) group of more than ``cap`` rows
-    is noise and dropped. A crash counts under its kind and under 'All'.
+    Devices are compared and counted without the colons of their MAC. Test
+    devices are left out, so are reports without a stack. Where given: a
+    (device, version, product, date, crash key, stack) group of more than
+    ``cap`` rows is noise and dropped, versions of another length and longer
+    date codes are left out. A crash counts under its kind and under 'All'.
     """
+    crashes = crashes.withColumn(mac, F.replace(F.col(mac), F.lit(":"), F.lit("")))
     keep = F.col("STACK_TRACE").isNotNull() & (F.col("STACK_TRACE") != "")
     if version_length is not None:
         keep = keep & (F.length("APP_VERSION_NAME") == version_length)
+    if date_length is not None:
+        keep = keep & F.coalesce(F.length(F.col("DATE_CODE").cast("string")) <= date_length, F.lit(True))
     real = crashes.where(keep)
+    if isinstance(test_devices, DataFrame):
+        device = test_devices.columns[0]
+        test_devices = test_devices.select(F.replace(F.col(device), F.lit(":"), F.lit("")).alias(device))
+    elif test_devices is not None:
+        test_devices = [x.replace(":", "") for x in test_devices]
     if test_devices is not None:
         real = blacklist_filter(real, mac, test_devices)
     finest = list(dict.fromkeys(c for level in levels for c in level))

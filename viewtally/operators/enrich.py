@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.network import ip_number, network_key, padded_ip
 from ..functions.scalars import brand_by_prefix
+from ._keys import left_join_known
 
 
 def unique_dim(
@@ -74,7 +75,7 @@ def dim_enrich(
     temp = {f"_v{i}": src for i, src in enumerate(cols.values())}
     one = unique_dim(dim, dim_keys, temp, pick, valid_col)
     keyed = fact.select("*", *[e.alias(k) for k, e in fact_keys.items()])
-    joined = keyed.join(one, list(fact_keys), how)
+    joined = left_join_known(keyed, one, list(fact_keys), how)
     out = [F.col(c) for c in fact.columns if c not in cols]
     for i, name in enumerate(cols):
         value = F.col(f"_v{i}")
@@ -163,7 +164,7 @@ def geo_enrich(
             "ip", *[F.coalesce(f"_p_{c}", c).alias(c) for c in cols]
         )
     renamed = located.select(F.col("ip").alias("_ip"), *[F.col(c).alias(f"_g_{c}") for c in cols])
-    joined = fact.join(renamed, fact[ip] == renamed["_ip"], "left")
+    joined = left_join_known(fact.withColumn("_ip", F.col(ip)), renamed, ["_ip"])
     return joined.select(
         *[F.col(c) for c in fact.columns if c not in cols],
         *[F.coalesce(F.col(f"_g_{c}"), F.lit(unknown)).alias(c) for c in cols],

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_mac, valid_wifi_mac
+from ._keys import left_join_known
 
 
 def dedup_identity(
@@ -33,7 +34,7 @@ def dedup_identity(
         for n in names:
             keyed = keyed.where(F.col(n).isNotNull())
         first = keyed.groupBy(*names).agg(F.min("_o").alias(f"_first{i}"))
-        out = out.join(first, names, "left").drop(*names)
+        out = left_join_known(out, first, names).drop(*names)
         found.append(F.when(F.col(f"_first{i}") < F.col(order), F.col(f"_first{i}")))
     original = F.least(*found) if len(found) > 1 else found[0]
     out = out.withColumn("original", original).withColumn("is_duplicate", F.col("original").isNotNull())
@@ -89,7 +90,7 @@ def dedup_by_model(
         for n in names:
             keyed = keyed.where(F.col(n).isNotNull())
         first = keyed.groupBy(*names).agg(F.min("_o").alias(f"_first{i}"))
-        out = out.join(first, names, "left").drop(*names)
+        out = left_join_known(out, first, names).drop(*names)
         hit = F.when(F.col(f"_first{i}") < F.col(order), F.col(f"_first{i}"))
         applies = F.coalesce(condition, F.lit(False))
         result = F.when(applies, hit) if result is None else result.when(applies, hit)

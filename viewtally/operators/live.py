@@ -17,21 +17,24 @@ def occupancy(
     keys: Sequence[str],
     user: str = "userId",
     slot_minutes: int = 10,
-    low: int = 0,
-    high: int = 36000,
+    low: int | None = None,
+    high: int | None = None,
     pv: str | None = None,
 ) -> DataFrame:
     """Distinct viewers per time slot: an interval that ends at ``end`` and
     lasts ``length`` seconds counts in every slot it touches.
 
-    Lengths outside low..high are no viewing; the upper bound also limits how
-    many slots one row can fill. Rows are cut to (keys, user, slot range) and
-    made distinct before they are spread.
+    Lengths outside low..high, if given, are no viewing; negative ones never
+    are. Rows are cut to (keys, user, slot range) and made distinct before they
+    are spread.
     """
     width = slot_minutes * 60
     last = F.floor(F.unix_timestamp(end) / width)
     first = F.floor((F.unix_timestamp(end) - F.col(length)) / width)
-    spans = df.where(F.col(length).between(low, high) & F.col(end).isNotNull()).select(
+    valid = F.col(end).isNotNull() & (F.col(length) >= max(low or 0, 0))
+    if high is not None:
+        valid = valid & (F.col(length) <= high)
+    spans = df.where(valid).select(
         *keys, F.col(user).alias("_user"), first.cast("bigint").alias("_first"), last.cast("bigint").alias("_last")
     )
     if pv is None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as P
 from ..functions import values as V
-from ..operators.counts import START_EVENTS, pv_uv, pv_uv_duration
+from ..operators.counts import START_EVENTS, play_duration, pv_uv
 from ..operators.enrich import dim_enrich
 from ..operators.quality import flood_filter
 from .registry import report
@@ -42,12 +42,12 @@ def _subject_channel(t):
 
 @report("entrance_plays", "C4", "C6", "J5")
 def entrance_plays(t):
-    return pv_uv_duration(_subject_channel(t), ["channel", "entryType"], avg="avg_duration", digits=0)
+    return play_duration(_subject_channel(t), ["channel", "entryType"], avg="avg_duration", digits=0)
 
 
 @report("entrance_plays_short", "C5")
 def entrance_plays_short(t):
-    return pv_uv_duration(t.play, ["contentType", "entryType"], avg="avg_duration", digits=0)
+    return play_duration(t.play, ["contentType", "entryType"], avg="avg_duration", digits=0)
 
 
 def _labelled(t):
@@ -62,12 +62,12 @@ def history_by_video(t):
 
 @report("source_plays_and_time", "C8", "A3")
 def source_time(t):
-    return pv_uv_duration(_labelled(t), ["contentType", "source"])
+    return play_duration(_labelled(t), ["contentType", "source"])
 
 
 @report("source_plays_one_version", "C9")
 def source_one_version(t):
-    return pv_uv_duration(
+    return play_duration(
         _labelled(t).where(F.col("apkVersion") == "3.1.4"), ["contentType", "source"], avg="avg_duration"
     )
 
@@ -86,7 +86,7 @@ def channel_by_day(t):
 
 @report("channel_durations", "C12")
 def channel_durations(t):
-    return pv_uv_duration(t.play, ["day", "contentType"], avg="avg_duration", dur_users="dur_users", how="inner")
+    return play_duration(t.play, ["day", "contentType"], avg="avg_duration", dur_users="dur_users", how="inner")
 
 
 @report("channel_visits", "C13")
@@ -99,7 +99,7 @@ def visit_durations(t):
     """Bound of ten hours, but three for music and kids."""
     bound = F.when(F.col("contentType").isin("mv", "kids"), 10800).otherwise(36000)
     kept = t.visit.where((F.col("event") != "exit") | (F.col("duration") <= bound))
-    return pv_uv_duration(
+    return play_duration(
         kept, ["contentType"], start=F.col("event") == "enter", dur_rows=F.col("event") == "exit", high=None,
         avg="avg_duration", dur_users="dur_users",
     )
@@ -111,7 +111,7 @@ def collect_tabs(t):
     plays = t.play.where(F.col("pathMain").contains("collect")).withColumn(
         "tab", P.classify_path(F.coalesce("pathMain", F.lit("")), rules, V.COLLECT_OTHER)
     )
-    return pv_uv_duration(plays, ["tab", "day"], dur_rows=~started(), avg="avg_duration")
+    return play_duration(plays, ["tab", "day"], dur_rows=~started(), avg="avg_duration")
 
 
 @report("collected_videos", "C16")
@@ -121,7 +121,7 @@ def collected(t):
 
 @report("history_plays", "C17")
 def history_plays(t):
-    return pv_uv_duration(t.play.where(F.col("pathMain").contains("history")), ["day"], avg="avg_duration")
+    return play_duration(t.play.where(F.col("pathMain").contains("history")), ["day"], avg="avg_duration")
 
 
 def _kids(frame):
@@ -156,7 +156,7 @@ def kids_views_named(t):
 def match_plays(t):
     rules = [("%sports*horizontal%", "体育首页"), ("%sports*League%", "联赛"), ("%sports*horizontal*collect%", "收藏")]
     plays = t.play.withColumn("place", P.classify_path("pathMain", rules))
-    return pv_uv_duration(plays.where(F.col("place").isNotNull()), ["videoSid", "place"], avg="avg_duration")
+    return play_duration(plays.where(F.col("place").isNotNull()), ["videoSid", "place"], avg="avg_duration")
 
 
 @report("sports_users", "C23")

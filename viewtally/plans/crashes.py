@@ -23,12 +23,12 @@ def _testers(t):
 
 @report("crash_trend", "X2", "A9")
 def trend(t):
-    return crash_trend(t.crash, LEVELS, test_devices=_testers(t), cap=None)
+    return crash_trend(t.crash, LEVELS, test_devices=_testers(t), version_length=5, date_length=20)
 
 
 @report("crash_trend_without_noise", "X3")
 def trend_calm(t):
-    return crash_trend(t.crash, LEVELS, test_devices=_testers(t), cap=2)
+    return crash_trend(t.crash, LEVELS, test_devices=_testers(t), cap=2, version_length=5, date_length=20)
 
 
 @report("daily_activity_levels", "X4", "A9")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.counts import pv_uv, pv_uv_duration
+from ..operators.counts import play_duration, pv_uv
 from ..operators.identity import dedup_by_model, dedup_identity, same_device_keys, unmatched_logins
 from ..operators.rollout import dup_alert, non_play_rate
 from .registry import report
@@ -84,4 +84,4 @@ def accepted_channel(t):
 def rejected_time(t):
     gone = _marked(t).where("is_duplicate").select(F.col("user_id").alias("userId"))
     plays = t.play.join(gone, "userId", "left_semi")
-    return pv_uv_duration(plays, [], avg="average")
+    return play_duration(plays, [], avg="average")

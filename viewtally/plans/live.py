@@ -24,7 +24,7 @@ def _is_start():
 
 @report("carousel_totals", "L1")
 def carousel(t):
-    out = pv_uv_duration(_live(t).where(F.col("sourceType") == "carousel"), ["day"], high=36000)
+    out = pv_uv_duration(_live(t).where(F.col("sourceType") == "carousel"), ["day"], low=0, high=36000)
     return out.withColumn("plays_per_user", F.col("pv") / F.nullif("uv", F.lit(0))).withColumn(
         "minutes_per_user", F.col("duration") / 60 / F.nullif("uv", F.lit(0))
     )
@@ -33,7 +33,7 @@ def carousel(t):
 def _top(name, row, source, order):
     @report(name, row, "W3")
     def run(t):
-        counted = pv_uv(_live(t).where((F.col("sourceType") == source) & _is_start()), [F.substring("channelSid", 1, 50).alias("channel")])
+        counted = pv_uv(_live(t).where((F.col("sourceType") == source) & _is_start()), [F.col("channelSid").alias("channel")])
         return topn_per_group(counted, [], order, 10, tie_break=["channel"])
 
 
@@ -58,7 +58,7 @@ def switches(t):
 @report("webcast_tree", "L6")
 def webcast_tree(t):
     tree = F.substring_index("pathMain", "*", -1).alias("tree")
-    return pv_uv_duration(_live(t).where(F.col("sourceType") == "webcast"), [tree], high=36000, dur_users="dur_users")
+    return pv_uv_duration(_live(t).where(F.col("sourceType") == "webcast"), [tree], low=0, high=36000, dur_users="dur_users")
 
 
 @report("live_categories", "L7", "J2")
@@ -73,7 +73,8 @@ def categories(t):
 @report("live_channels", "L8")
 def channels(t):
     named = dim_enrich(_live(t), t.livemenu, {"liveMenuCode": "menu_code"}, {"category": "menu_name"}, default="other")
-    return pv_uv_duration(named, ["day", "sourceType", "category", "channelSid"], high=36000, how="left")
+    watched = F.col("event") == "switchchannel"
+    return pv_uv_duration(named, ["day", "sourceType", "category", "channelSid"], dur_rows=watched, low=10, high=36000)
 
 
 @report("live_starts_per_minute", "L9")
@@ -83,12 +84,13 @@ def per_minute(t):
 
 @report("live_occupancy", "L10", "U46")
 def live_occupancy(t):
-    return occupancy(_live(t).where(~_is_start()), "datetime", "duration", ["sourceType", "channelSid"])
+    watched = _live(t).where(F.col("event") == "switchchannel")
+    return occupancy(watched, "datetime", "duration", ["sourceType", "channelSid"], low=10, high=36000)
 
 
 @report("live_source_types", "L11", "J1")
 def source_types(t):
-    plays = pv_uv_duration(_live(t), ["day", "sourceType"], high=36000, dur_users="dur_users")
+    plays = pv_uv_duration(_live(t), ["day", "sourceType"], low=0, high=36000, dur_users="dur_users")
     switched = pv_uv(_live(t), ["day", "sourceType"], where=F.col("event") == "switchchannel", uv="uv_switch").drop("pv")
     return funnel_join([plays, switched], ["day", "sourceType"], how="left")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
-from ..operators.counts import pv_uv, pv_uv_duration
+from ..operators.counts import play_duration, pv_uv
 from ..operators.enrich import dim_enrich
 from .channels import started
 from .registry import report
@@ -33,7 +33,7 @@ PLACES = [
 def by_chart(t):
     chart = F.regexp_extract("pathMain", r"mv_category\*(\w+)", 1)
     plays = _music(t).withColumn("source", chart).where(F.col("source") != "")
-    return pv_uv_duration(plays, ["videoSid", "source"], low=1, dur_users="dur_users")
+    return play_duration(plays, ["videoSid", "source"], low=1, dur_users="dur_users")
 
 
 @report("music_video_plays", "V2")
@@ -46,7 +46,7 @@ def areas(t):
     plays = t.play.withColumn("area", P.classify_path("pathMain", AREAS, "other")).withColumn(
         "location", P.classify_path("pathMain", PLACES, "other")
     )
-    return pv_uv_duration(
+    return play_duration(
         plays.where(F.col("area") != "other"), ["area", "location"], null_dur="zero", dur_users="dur_users",
     )
 
@@ -55,7 +55,7 @@ def areas(t):
 def recommended(t):
     plays = _music(t).withColumn("kind", F.when(F.col("pathSpecial").startswith("subject"), "topic").otherwise("program"))
     plays = plays.withColumn("code", F.when(F.col("kind") == "topic", F.col("subjectCode")).otherwise(F.col("videoSid")))
-    counted = pv_uv_duration(plays, ["kind", "code"], dur_users="dur_users")
+    counted = play_duration(plays, ["kind", "code"], dur_users="dur_users")
     titled = dim_enrich(counted, t.program, {"code": "sid"}, {"_p": "title"}, guard=F.col("kind") == "program")
     titled = dim_enrich(titled, t.subject, {"code": "subject_code"}, {"_s": "subject_name"}, guard=F.col("kind") == "topic")
     return titled.withColumn("title", F.coalesce("_p", "_s", "code")).drop("_p", "_s")
@@ -67,7 +67,7 @@ def _omnibus(t):
 
 @report("omnibus_plays", "V5")
 def omnibus(t):
-    counted = pv_uv_duration(_omnibus(t), ["omnibus"])
+    counted = play_duration(_omnibus(t), ["omnibus"])
     return dim_enrich(counted, t.subject, {"omnibus": "subject_code"}, {"name": "subject_name"})
 
 
@@ -79,7 +79,7 @@ def omnibus_entrance(t):
         F.lit("function").alias("area"), F.when(F.col("menu_code") == "menu1", "site_concert").when(F.col("menu_code") == "menu2", "site_hotsinger").alias("location"), "menu_name"
     )
     named = dim_enrich(plays, codes, ["area", "location"], {"entrance": "menu_name"}, null_safe=["location"])
-    return pv_uv_duration(named, ["entrance", "omnibus"])
+    return play_duration(named, ["entrance", "omnibus"])
 
 
 @report("singer_plays", "V7", "J16")
@@ -88,8 +88,8 @@ def singers(t):
     plays = dim_enrich(_music(t), t.program, {"videoSid": "sid"}, {"singer": "title"})
     plays = dim_enrich(plays, t.subject, {"subjectCode": "subject_code"}, {"topic": "subject_name"})
     plays = plays.withColumn("singer", F.coalesce("singer", "topic", "videoSid"))
-    split = pv_uv_duration(plays, ["singer", "entryType"], avg="avg_duration")
-    whole = pv_uv_duration(plays, ["singer"], avg="avg_duration").withColumn("entryType", F.lit("All"))
+    split = play_duration(plays, ["singer", "entryType"], avg="avg_duration")
+    whole = play_duration(plays, ["singer"], avg="avg_duration").withColumn("entryType", F.lit("All"))
     return split.unionByName(whole)
 
 
@@ -104,7 +104,7 @@ def _tabs(t):
 
 @report("music_tab_plays", "V9", "U14")
 def tab_plays(t):
-    return pv_uv_duration(_tabs(t), ["entry", "tab", "item"], avg="avg_duration")
+    return play_duration(_tabs(t), ["entry", "tab", "item"], avg="avg_duration")
 
 
 @report("music_tab_views", "V10")
@@ -114,9 +114,9 @@ def tab_views(t):
 
 @report("music_videos_by_source", "V11")
 def videos_by_source(t):
-    return pv_uv_duration(_tabs(t), ["videoSid", "tab"])
+    return play_duration(_tabs(t), ["videoSid", "tab"])
 
 
 @report("music_videos", "V12")
 def videos(t):
-    return pv_uv_duration(_music(t), ["videoSid"], low=1)
+    return play_duration(_music(t), ["videoSid"], low=1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as P
 from ..functions import scalars as S
-from ..operators.counts import funnel_join, pv_uv, pv_uv_duration
+from ..operators.counts import funnel_join, play_duration, pv_uv
 from ..operators.enrich import dim_enrich
 from ..operators.rankings import topn_per_group
 from .channels import started
@@ -15,7 +15,7 @@ from .registry import report
 
 @report("video_plays_of_channel", "P1")
 def videos(t):
-    return pv_uv(t.play, ["contentType", "videoSid"], where=started() & S.fits("videoSid", 50))
+    return pv_uv(t.play, ["contentType", "videoSid"], where=started())
 
 
 @report("top_videos_of_channel", "P1", "W2")
@@ -108,12 +108,12 @@ def guess_you_like(t):
     branches = [("pathSub", "guessyoulike%", "guess"), ("pathMain", "%recommendation%", "recommendation"), ("pathMain", "%taste%", "taste")]
     kinds = F.array(*[F.when(F.col(c).like(p), F.lit(k)) for c, p, k in branches])
     plays = t.play.withColumn("kind", F.explode(F.filter(kinds, lambda k: k.isNotNull())))
-    return pv_uv_duration(plays, ["kind"])
+    return play_duration(plays, ["kind"])
 
 
 @report("similar_plays", "P13")
 def similar(t):
-    return pv_uv_duration(t.play.where(F.col("pathSub").like("%similar%")), ["contentType"], avg="avg_duration")
+    return play_duration(t.play.where(F.col("pathSub").like("%similar%")), ["contentType"], avg="avg_duration")
 
 
 @report("home_recommendation_videos", "P14")

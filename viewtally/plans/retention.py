@@ -188,10 +188,17 @@ def r25(t):
 @report("version_fall_back", "R26")
 def r26(t):
     """Devices that used 3.1.4 or newer on a day and whose account shows an
-    older version: counted as fallen back, per day."""
+    older version in the snapshot ``offset`` days later: counted as fallen
+    back, per day and offset. A snapshot holds the accounts opened until then."""
+    offsets = (0, 1, 3, 7, 14)
     log = active(t).where(F.col("version") >= "3.1.4").select("mac", "day").distinct()
-    back = t.account.where(S.apk_version("current_version") < "3.1.4").select("mac").distinct().withColumn("_back", F.lit(1))
-    out = log.join(back, "mac", "left").groupBy("day").agg(F.count(F.lit(1)).alias("users"), F.count("_back").alias("fallen_back"))
+    older = t.account.where((S.apk_version("current_version") < "3.1.4") & F.col("mac").isNotNull())
+    back = older.groupBy("mac").agg(F.min(F.to_date("openTime")).alias("_since"))
+    counted = log.join(back, "mac", "left").groupBy("day").agg(
+        F.count(F.lit(1)).alias("users"), *[F.count_if(F.col("_since") <= F.date_add("day", o)).alias(f"_{o}") for o in offsets]
+    )
+    each = F.explode(F.array(*[F.struct(F.lit(o).alias("offset"), F.col(f"_{o}").alias("fallen_back")) for o in offsets])).alias("e")
+    out = counted.select("day", "users", each).select("day", "e.offset", "users", "e.fallen_back")
     return out.withColumn("rate", F.col("fallen_back") / F.col("users"))
 
 

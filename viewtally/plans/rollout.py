@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators.counts import (
-    adoption_ratio, conversion_ratio, funnel_join, pv_uv, pv_uv_duration, running_total, users_where,
+    adoption_ratio, conversion_ratio, funnel_join, pv_uv, play_duration, running_total, users_where,
 )
 from ..operators.enrich import dim_enrich, network_enrich
 from ..operators.rollout import accumulate_new, loyalty_split
@@ -155,7 +155,7 @@ def activity(t):
 
 
 def _averages(plays):
-    out = pv_uv_duration(plays, ["apkVersion", "contentType"])
+    out = play_duration(plays, ["apkVersion", "contentType"])
     users = F.nullif("uv", F.lit(0))
     return out.withColumn("avg_plays", F.col("pv") / users).withColumn("avg_hours", F.col("duration") / 3600 / users)
 

@@ -16,7 +16,6 @@ BASE = (
     "benchmark labels conversations"
 ).split()
 
-LARGE = ("lineitem",)
 CHANNELS = ["movie", "tv", "zongyi", "comic", "kids", "jilu", "hot", "xiqu", "mv", "sports", "game"]
 
 
@@ -177,7 +176,7 @@ SELECT 'u' || CAST(user_id AS STRING) AS userId,
   'chan' || CAST({K} % 40 AS STRING) AS channelSid,
   'menu' || CAST({K} % 7 AS STRING) AS liveMenuCode,
   'home*live*eagle-webcast*1-' || CAST({K} % 9 AS STRING) AS pathMain,
-  CASE WHEN event_type IN ('view', 'purchase', 'click') THEN NULL ELSE CAST(floor(value) AS BIGINT) * 30 END AS duration,
+  CASE WHEN event_type IN ('view', 'purchase') THEN NULL ELSE CAST(floor(value) AS BIGINT) * 30 END AS duration,
   ts AS datetime, CAST(ts AS DATE) AS day
 FROM {{events}}""",
     "visit": f"""
@@ -272,9 +271,10 @@ SELECT CAST(1 + n_nationkey AS STRING) || '.0.0.0' AS lo, CAST(1 + n_nationkey A
   'C' || CAST(n_regionkey AS STRING) AS country, n_name AS province, 'city' || CAST(n_nationkey AS STRING) AS city
 FROM {nation}""",
     "ip_prefix": """
-SELECT CAST(1 + n_nationkey AS STRING) || '.' || CAST(n_nationkey % 4 AS STRING) || '.7' AS prefix,
+SELECT CASE WHEN n_regionkey < 2 THEN CAST(1 + n_nationkey AS STRING) || '.' || CAST(n_nationkey % 4 AS STRING) || '.7'
+    ELSE '250.250.' || CAST(n_nationkey AS STRING) END AS prefix,
   'P' || CAST(n_regionkey AS STRING) AS country, n_name AS province, 'pcity' AS city
-FROM {nation} WHERE n_regionkey < 2""",
+FROM {nation}""",
     "brand": """
 SELECT 'model' || CAST(n_nationkey AS STRING) AS product_model, 'Brand' || CAST(n_regionkey AS STRING) AS brand_name,
   CASE WHEN n_nationkey % 6 = 5 THEN DATE '2023-01-01' ELSE NULL END AS dim_invalid_time
@@ -288,7 +288,8 @@ SELECT 'app' || CAST(n_nationkey AS STRING) AS application_sid, n_name AS applic
   CASE WHEN n_regionkey = 4 THEN DATE '2023-01-01' ELSE NULL END AS dim_invalid_time
 FROM {nation}""",
     "livemenu": """
-SELECT 'menu' || CAST(n_nationkey AS STRING) AS menu_code, n_name AS menu_name FROM {nation} WHERE n_nationkey < 6""",
+SELECT CASE WHEN n_nationkey < 6 THEN 'menu' ELSE 'nomenu' END || CAST(n_nationkey AS STRING) AS menu_code, n_name AS menu_name
+FROM {nation}""",
     "person": """
 SELECT c_custkey AS id, CASE WHEN c_custkey % 19 = 0 THEN '' WHEN c_custkey % 17 = 0 THEN '3月1日' WHEN c_custkey % 23 = 0 THEN 'x9'
     ELSE CAST(1940 + c_custkey % 83 AS STRING) END AS birth,
@@ -313,16 +314,6 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
         self._made: dict[str, DataFrame] = {}
 
-    def _spread(self, table: DataFrame) -> DataFrame:
-        """Share a table of fewer files than cores among all cores.
-
-        The test tables are one file of one row group each, which one task
-        would read and parse alone; for the large ones that costs more than
-        the exchange. A table of many files is left as it is.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if len(table.inputFiles()) < cores else table
-
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -332,8 +323,7 @@ class Tables:
                 sql = STANDINS[name]
                 made[name] = self.spark.sql(sql, **{n: getattr(self, n) for n in needs(sql)})
             elif name in BASE:
-                table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-                made[name] = self._spread(table) if name in LARGE else table
+                made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 raise AttributeError(name)
         return made[name]

@@ -97,10 +97,10 @@ def channel_share(t):
 
 @report("new_users_on_other_devices", "B12", "U38")
 def non_ott(t):
-    """Models on the list of boxes are left out; an unknown model counts as a box."""
-    boxes = ["model1", "model2", "model3"]
-    other = t.account.where(F.col("product_model").isin(boxes))
-    return pv_uv(other, ["promotion_channel"], user="user_id", uv="n", null_user="count").drop("pv")
+    """Devices of the listed models, which are no boxes; any other and an unknown model is a box."""
+    no_boxes = ["model1", "model2", "model3"]
+    other = t.account.where(F.col("product_model").isin(no_boxes))
+    return pv_uv(other, ["promotion_channel"], user="mac", uv="n", null_user="count").drop("pv")
 
 
 @report("total_users_per_channel", "B13")
