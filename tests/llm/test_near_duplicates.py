@@ -89,9 +89,13 @@ def test_blocks_compare_every_pair_between_groups(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 4)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 256, 64).astype(np.uint8)
-    rows = [(b, i, i // 2, (base if i % 3 else base[::-1].copy()).tobytes()) for b in (1, 2) for i in range(30)]
-    members = spark.createDataFrame([(b, i, r, bytearray(s)) for b, i, r, s in rows], "bucket long, id long, root long, sketch binary")
-    got = {(min(r.a, r.b), max(r.a, r.b)) for r in nd.alike(members, 0.9).collect()}
+    rows = [(b, b, i, i // 2, bytearray((base if i % 3 else base[::-1].copy()).tobytes())) for b in (0, 1) for i in range(30)]
+    members = spark.createDataFrame(rows, "bucket long, band int, id long, root long, sketch binary")
+    told = [(min(r.a, r.b), max(r.a, r.b)) for r in nd.alike(members, 0.9, 8).collect()]
+    got = set(told)
+    assert len(told) == len(got)  # the second band tells no pair again
+    nearest = nd.alike(members, 0.9, 8, nearest=True).collect()
+    assert nearest and {(min(r.a, r.b), max(r.a, r.b)) for r in nearest} <= got and len(nearest) <= 2 * 30 * 8
     assert got == {(i, j) for i in range(30) for j in range(i + 1, 30) if i // 2 != j // 2 and bool(i % 3) == bool(j % 3)}
 
 

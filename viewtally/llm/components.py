@@ -22,20 +22,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     A node of very many links is only ever an aggregate and the unique side of a
     join. Links to itself and null ends do not count.
     """
-    stars = saved(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
+    stars = saved(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
-    while True:
+    while True:  # no step makes more rows than there are links
         both = stars.unionAll(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        stars = saved(small.where("u <> v").distinct())
+        stars = saved(small.where("u <> v"))
         after = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if after == before:
             break
         before = after
-    roots = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = stars.select(F.col("u").alias("node"), F.col("v").alias("root")).distinct()
     return roots.unionAll(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

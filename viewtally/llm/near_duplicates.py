@@ -11,15 +11,17 @@ random, and a register keeps the shingle that arrived first. Two texts agree in
 a register with probability J. A shingle stops once its next arrival is later
 than every register of its text.
 
-Texts with equal words are one class at the start. Registers are cut into bands,
-and equal bands put texts into a bucket. Pairs are verified exactly, and what
-verified pairs connect is a group. First every text of a bucket is compared with
-a leader of the bucket, in ``ROUNDS`` rounds with other leaders; a bucket of n
-texts gives n - 1 pairs at most, and a large set of copies soon is one group.
-Then the texts of a bucket that are in different groups are compared by their
-registers, in blocks of ``BLOCK`` texts, and the pairs whose registers agree
-often enough are verified: ``MARGIN`` below the wanted similarity is more than
-three standard deviations of that estimate. No pair within a group is made.
+Texts with equal words are one class at the start. A byte of each register is
+kept; the bytes are cut into bands, and equal bands put texts into a bucket.
+Pairs are verified exactly, and what verified pairs connect is a group. First
+every text of a bucket is compared with the first one of the bucket and with the
+one that agrees with it in most registers, which makes two pairs for each text
+at most and joins nearly all of a large set of copies. Then texts of a bucket
+that are in different groups are compared by their registers, in blocks of
+``BLOCK`` texts, and those that agree often enough are verified (``MARGIN`` below
+the wanted similarity is about three standard deviations of that estimate). No
+pair within a group is made then, and a pair is made in the first band only in
+which it agrees.
 """
 
 from __future__ import annotations
@@ -41,9 +43,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 8
-ROUNDS = 2
 BLOCK = 1000
-MARGIN = 0.08
+MARGIN = 0.07
 
 _STEP = np.uint64(0xA0761D6478BD642F)
 _TURN = np.uint64(0xE7037ED1A0B428DB)
@@ -96,50 +97,37 @@ def registers(owners: np.ndarray, elements: np.ndarray, weights: np.ndarray, row
     return winners.reshape(rows, n)
 
 
-def sketches(docs: DataFrame, *, id: str, text: str, size: int, bands: int, rows: int) -> DataFrame:
-    """(id, digest of the words, bands as array<long>, a byte of each register); null for a text without words."""
-    results = T.StructType(
-        [
-            T.StructField("digest", T.BinaryType()),
-            T.StructField("bands", T.ArrayType(T.LongType())),
-            T.StructField("sketch", T.BinaryType()),
-        ]
-    )
+def sketches(docs: DataFrame, *, id: str, text: str, size: int, n: int) -> DataFrame:
+    """(id, digest of the words, a byte of each of ``n`` registers); both null for a text without words."""
+    results = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
 
     def worker():
         def sketch(raw, offsets):
             owners, elements, weights, digests = shingles(raw, offsets, size)
-            won = registers(owners, elements, weights, len(digests), bands * rows)
-            short = (mix(won) & np.uint64(255)).astype(np.uint8)
-            won = won.reshape(-1, bands, rows)
-            keys = np.arange(1, bands + 1, dtype=np.uint64) * _TURN + np.zeros((len(digests), 1), np.uint64)
-            for k in range(rows):
-                keys = mix(keys + won[:, :, k])
-            keys = keys.astype(np.int64)
-            return [
-                digests,
-                [None if d is None else row for d, row in zip(digests, keys, strict=True)],
-                [None if d is None else row.tobytes() for d, row in zip(digests, short, strict=True)],
-            ]
+            won = (mix(registers(owners, elements, weights, len(digests), n)) & np.uint64(255)).astype(np.uint8)
+            return [digests, [None if d is None else row.tobytes() for d, row in zip(digests, won, strict=True)]]
 
         return sketch
 
-    return map_text(docs, text, results, worker, keep=[id]).toDF("id", "digest", "bands", "sketch")
+    return map_text(docs, text, results, worker, keep=[id]).toDF("id", "digest", "sketch")
 
 
 def weighted_shingles(docs: DataFrame, *, size: int) -> DataFrame:
-    """(id, shingles, weights) of (id, t): parallel arrays, the shingles in increasing order."""
-    results = T.StructType([T.StructField("s", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.IntegerType()))])
+    """(id, s, w) of (id, t): the shingles in order, six bytes each, and their weights, null if all are one."""
+    results = T.StructType([T.StructField("s", T.BinaryType()), T.StructField("w", T.BinaryType())])
 
     def worker():
         def sets(raw, offsets):
             owners, elements, weights, _ = shingles(raw, offsets, size)
-            elements = elements.astype(np.int64)
+            elements >>= np.uint64(16)
             order = np.lexsort((elements, owners))
-            cut = pa.array(np.searchsorted(owners, np.arange(len(offsets))), pa.int32())
+            elements, weights = elements[order], weights[order].astype(np.int32)
+            cut = np.searchsorted(owners, np.arange(len(offsets)))
+            spans = list(zip(cut[:-1], cut[1:], strict=True))
+            packed = elements.view(np.uint8).reshape(-1, 8)[:, :6]
             return [
-                pa.ListArray.from_arrays(cut, pa.array(elements[order])),
-                pa.ListArray.from_arrays(cut, pa.array(weights[order], pa.int32())),
+                [packed[i:j].tobytes() for i, j in spans],
+                [None if (weights[i:j] == 1).all() else weights[i:j].tobytes() for i, j in spans],
             ]
 
         return sets
@@ -147,6 +135,14 @@ def weighted_shingles(docs: DataFrame, *, size: int) -> DataFrame:
     return map_text(docs, "t", results, worker, keep=["id"])
 
 
+def unpacked(s: bytes, w: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles and weights of a packed set."""
+    wide = np.zeros((len(s) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(s, np.uint8).reshape(-1, 6)
+    elements = wide.view(np.uint64).ravel()
+    return elements, np.ones(len(elements), np.int32) if w is None else np.frombuffer(w, np.int32)
+
+
 def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> float:
     """The similarity of two weighted sets, given as sorted elements and their weights."""
     common, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
@@ -173,12 +169,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.columns[n:]
-            values = [c.values.to_numpy() for c in lists]
-            cuts = [c.offsets.to_numpy() for c in lists]
-            found = np.empty(len(batch))
-            for k in range(len(batch)):
-                found[k] = probability_jaccard(*[v[c[k] : c[k + 1]] for v, c in zip(values, cuts, strict=True)])
+            sets = zip(*[c.to_pylist() for c in batch.columns[n:]], strict=True)
+            found = np.array([probability_jaccard(*unpacked(s1, w1), *unpacked(s2, w2)) for s1, w1, s2, w2 in sets])
             yield batch.select(list(range(n))).filter(pa.array(found >= similarity - 1e-9))
 
     return both.mapInArrow(compare, pairs.schema)
@@ -205,18 +197,17 @@ def near_duplicates(
     """
     own = docs.select(F.col(quoted(id)).alias("id"), F.col(quoted(text)).cast("string").alias("t"))
     named = own.where("id IS NOT NULL")
-    sketched = saved(sketches(named, id="id", text="t", size=size, bands=bands, rows=rows).where("digest IS NOT NULL"))
-    texts = saved(
-        sketched.groupBy("digest").agg(F.min("id").alias("text_id"), F.min_by(F.struct("bands", "sketch"), "id").alias("s"))
-        .select("digest", "text_id", "s.bands", "s.sketch")
-    )
-    shared = texts.select(F.col("text_id").alias("id"), F.explode("bands").alias("bucket"))
+    sketched = saved(sketches(named, id="id", text="t", size=size, n=bands * rows).where("digest IS NOT NULL"))
+    texts = saved(sketched.groupBy("digest").agg(F.min("id").alias("text_id"), F.min_by("sketch", "id").alias("sketch")))
+    banded = texts.select(F.col("text_id").alias("id"), "sketch", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
+    key = F.xxhash64("band", F.substring("sketch", F.col("band") * rows + 1, F.lit(rows)))
+    shared = banded.select("id", "band", key.alias("bucket"))
     several = shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = saved(shared.join(several, "bucket", "left_semi"))
     compared = named.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
     sets = saved(weighted_shingles(compared, size=size))
     registers_of = texts.groupBy(F.col("text_id").alias("id")).agg(F.min("sketch").alias("sketch"))
-    groups = grouped(members, sets, registers_of, similarity)
+    groups = grouped(members, sets, registers_of, similarity, rows)
 
     copies = sketched.select("id", "digest").join(texts.select("digest", "text_id"), "digest")
     classes = (
@@ -228,40 +219,36 @@ def near_duplicates(
     )
 
 
-def grouped(members: DataFrame, sets: DataFrame, registers_of: DataFrame, similarity: float) -> DataFrame:
-    """(id, root) of the members (id, bucket): what verified pairs of one bucket connect has one root."""
-    groups = members.select("id", F.col("id").alias("root")).distinct()
-    open_ = members.withColumn("root", F.col("id"))
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            order = F.col("id") if turn == 0 else F.xxhash64("id", "bucket")
-            leaders = open_.groupBy("bucket").agg(F.min_by(F.struct("id", "root"), order).alias("l"))
-            pairs = open_.join(leaders, "bucket").where("root <> l.root").select(
-                F.col("l.id").alias("a"), F.col("id").alias("b"), F.col("l.root").alias("x"), F.col("root").alias("y")
-            )
-        else:
-            pairs = alike(open_.join(registers_of, "id"), similarity - MARGIN)
-        links = verified(pairs.distinct(), sets, similarity).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        moved = connected_components(links)
-        groups = saved(_renamed(groups, moved))
-        if turn < ROUNDS:
-            open_ = _renamed(open_, moved)
-            mixed = open_.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("bucket")
-            open_ = saved(open_.join(mixed, "bucket", "left_semi"))
-    return groups
-
-
-def alike(members: DataFrame, agreement: float) -> DataFrame:
-    """Pairs (a, b, x, y) of (bucket, id, root, sketch) in one bucket, of different roots, that agree in so many registers.
-
-    A bucket is cut into blocks of about ``BLOCK`` members, and each pair of
+def grouped(members: DataFrame, sets: DataFrame, registers_of: DataFrame, similarity: float, rows: int) -> DataFrame:
+    """(id, root) of the members (id, band, bucket): what verified pairs of one bucket connect has one root."""
+    alone = members.select("id", "band", "bucket", F.col("id").alias("root"))
+    leaders = alone.groupBy("bucket").agg(F.min("id").alias("a"))
+    pairs = alone.join(leaders, "bucket").where("id <> a").select("a", F.col("id").alias("b"))
+    near = alike(alone.join(registers_of, "id"), similarity - MARGIN, rows, nearest=True)
+    first = pairs.unionAll(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    moved = saved(connected_components(verified(first, sets, similarity)))
+
+    open_ = _renamed(alone, moved)
+    mixed = open_.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("bucket")
+    open_ = open_.join(mixed, "bucket", "left_semi")
+    links = verified(alike(open_.join(registers_of, "id"), similarity - MARGIN, rows), sets, similarity)
+    again = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return _renamed(_renamed(members.select("id", F.col("id").alias("root")).distinct(), moved), again)
+
+
+def alike(members: DataFrame, agreement: float, rows: int, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b, x, y) of (bucket, band, id, root, sketch) in one bucket, of different roots, that agree in so many registers.
+
+    A pair is told in the first band of ``rows`` registers in which it agrees;
+    with ``nearest``, of those only the one of each member that agrees most. A
+    bucket is cut into blocks of about ``BLOCK`` members, and each pair of
     blocks is a cell of its own, so that no task holds a whole large bucket.
     """
     blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     cells = members.join(blocks, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "root", "sketch"
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "band", "id", "root", "sketch"
     )
     dealt = cells.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     of = members.schema
@@ -269,14 +256,24 @@ def alike(members: DataFrame, agreement: float) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            own, ids, roots = (cell.column(i).to_numpy() for i in (3, 4, 5))
-            bits = np.frombuffer(b"".join(cell.column(6).to_pylist()), np.uint8).reshape(len(cell), -1)
-            within = cell.column(1)[0] == cell.column(2)[0]
+            own, ids, roots = (cell.column(i).to_numpy() for i in (3, 5, 6))
+            bits = np.frombuffer(b"".join(cell.column(7).to_pylist()), np.uint8).reshape(len(cell), -1)
+            within, band = cell.column(1)[0] == cell.column(2)[0], cell.column(4)[0].as_py()
             first, second = [], []
             for k in range(len(cell)):
-                rest = (roots > roots[k]) if within else (roots != roots[k]) & (own > own[k])
+                rest = roots != roots[k]
+                if not within:
+                    rest &= own > own[k]
+                elif not nearest:
+                    rest &= roots > roots[k]
                 at = np.flatnonzero(rest)
-                at = at[(bits[at] == bits[k]).mean(axis=1) >= agreement]
+                equal = bits[at] == bits[k]
+                agreeing = equal.mean(axis=1)
+                new = agreeing >= agreement
+                new[new] = equal[new].reshape(int(new.sum()), bits.shape[1] // rows, rows).all(axis=2).argmax(axis=1) == band
+                at = at[new]
+                if nearest and len(at):
+                    at = at[[np.argmax(agreeing[new])]]
                 first += [k] * len(at)
                 second.append(at)
             first, second = np.array(first, np.int64), np.concatenate(second)
