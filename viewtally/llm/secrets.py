@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewtally.llm.components import saved
 from viewtally.llm.textarrays import quoted
 
 #: The patterns of the base kinds.
@@ -90,8 +91,8 @@ def find_secrets(
     base = F.concat(*[_labelled(i, x) for i, x in enumerate(_base(whole))])
     plain = source.where(~open_).select("*", base.alias("s")).withColumn("s", F.array_sort("s"))
     weak = F.concat(_labelled(3, match_spans(whole, WORD, _mixed)), _labelled(4, match_spans(whole, ENDPOINT)))
-    candidates = source.where(open_).select("*", F.sha2(whole, 256).alias("k"), base.alias("s"), weak.alias("w"))
-
+    # few texts have parts to link; they are kept, so that the corpus is read for them once
+    candidates = saved(source.where(open_).select("*", F.sha2(whole, 256).alias("k"), base.alias("s"), weak.alias("w")))
     linked = link_parts(candidates.select("k", "s", "w"), reach)
     joined = candidates.drop("w").join(linked, "k", "left").withColumn(
         "s", F.array_sort(F.when(F.col("x").isNull(), F.col("s")).otherwise(F.concat("s", "x")))
