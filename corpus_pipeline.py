@@ -16,16 +16,25 @@ from viewtally.llm import bpe, decontamination, language, near_duplicates, secre
 from viewtally.llm.queries import VOCABULARY_FILE, remainder, table
 from viewtally.session import ensure_checkpoint_dir
 
-#: Text that needs more bits for each byte than writing the bytes down is in none of the learned languages.
-MAX_BITS_PER_BYTE = 8.5
+#: A text with fewer letters is not called foreign: a name or a quotation may be all it has.
+FOREIGN_LETTERS = 40
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in one of the learned languages (null and letterless texts go)."""
+    """Documents that may be in one of the learned languages.
+
+    Texts without a result (null, without letters) go, and texts of at least
+    ``FOREIGN_LETTERS`` letters, none of which any learned language uses. How
+    many bits a text needs decides nothing: keys, numbers and capitals are dear
+    in a short text of any language.
+    """
     model = language.fit_language_model(docs.where(remainder("doc_id", 5) != 0))
-    found = language.identify_language(docs, model)
-    kept = found.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("bits_per_byte") <= MAX_BITS_PER_BYTE))
-    return kept.select(*docs.columns)
+    found = language.identify_language(docs, model).where(F.col("lang_pred") != language.UNDETERMINED)
+    letters = language.learned_letters(model)
+    if letters:
+        used = F.col("text").rlike("[" + "".join(rf"\x{{{ord(x):X}}}" for x in letters) + "]")
+        found = found.where(used | (F.length(F.regexp_replace("text", r"\P{L}+", "")) < FOREIGN_LETTERS))
+    return found.select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,6 +121,19 @@ def build(counts: Sequence[tuple[str, int, int]], order: int) -> LanguageModel |
     return model
 
 
+def learned_letters(model: LanguageModel | None) -> str:
+    """The letters of the texts the model was built from, both cases of each (of up to ``order + 1`` bytes in UTF-8)."""
+    found = set()
+    for k, grams in enumerate(model.grams[:4] if model else []):
+        lead = (grams >> grams.dtype.type(8 * k)).astype(np.int64)
+        low, high = ((0, 0x80), (0xC2, 0xE0), (0xE0, 0xF0), (0xF0, 0xF5))[k]
+        for code in grams[(lead >= low) & (lead < high)].tolist():
+            letter = code.to_bytes(k + 1, "big").decode("utf-8", "ignore")
+            if len(letter) == 1 and letter.isalpha():
+                found.update(letter, *(x for x in (letter.lower(), letter.upper()) if len(x) == 1))
+    return "".join(sorted(found))
+
+
 def fit_language_model(
     docs: DataFrame,
     *,
