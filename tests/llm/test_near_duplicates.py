@@ -64,6 +64,15 @@ def test_registers_estimate_the_similarity():
         assert (won[i] == won[j]).mean() == pytest.approx(exact, abs=0.04)
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.82])
+def test_filter_by_registers_loses_next_to_nothing_of_what_bands_find(similarity):
+    rng = np.random.default_rng(6)
+    equal = rng.random((100_000, nd.BANDS * nd.ROWS), dtype=np.float32) < similarity + (1 - similarity) / 256
+    banded = equal.reshape(-1, nd.BANDS, nd.ROWS).all(axis=2).any(axis=1)
+    lost = banded & (equal.mean(axis=1) < nd.SIMILARITY - nd.MARGIN)
+    assert lost.sum() <= 0.0002 * len(equal) and banded.mean() > 0.996
+
+
 def test_query_equals_all_pairs(spark, sf_dir, documents):
     got = {r.doc_id: r.class_id for r in QUERIES["op7_near_duplicates"](spark, sf_dir).collect()}
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]

@@ -19,7 +19,7 @@ one that agrees with it in most registers, which makes two pairs for each text
 at most and joins nearly all of a large set of copies. Then texts of a bucket
 that are in different groups are compared by their registers, in blocks of
 ``BLOCK`` texts, and those that agree often enough are verified (``MARGIN`` below
-the wanted similarity is about three standard deviations of that estimate). No
+the wanted similarity is four standard deviations of that estimate). No
 pair within a group is made then, and a pair is made in the first band only in
 which it agrees.
 """
@@ -44,7 +44,7 @@ SIMILARITY = 0.8
 BANDS = 32
 ROWS = 8
 BLOCK = 1000
-MARGIN = 0.07
+MARGIN = 0.10
 
 _STEP = np.uint64(0xA0761D6478BD642F)
 _TURN = np.uint64(0xE7037ED1A0B428DB)
