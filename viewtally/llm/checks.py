@@ -103,3 +103,40 @@ def _placement() -> str:
 
 
 SQL["op5_sharding"] = _placement()
+
+#: crc32 of a decimal number, its table made from the polynomial.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(list_concat([i::BIGINT], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda x, b: xor(x >> 8, crc_table[(xor(x, b) & 255) + 1])), 4294967295)"""
+
+SQL["op11_conversation_trie"] = f"""
+    WITH said AS (
+        SELECT conv_id, turn, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS token,
+               strlen(coalesce(text, '')) AS bytes
+        FROM conversations WHERE conv_id IS NOT NULL),
+    numbered AS (SELECT conv_id, token, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) - 1 AS pos FROM said),
+    convs AS (SELECT conv_id, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM said), (SELECT {_CRC_TABLE} AS crc_table)),
+    parts AS (
+        SELECT c.conv_id, 0 AS part, pos, token, bytes FROM convs c JOIN numbered n ON n.conv_id = c.conv_id - c.conv_id % 5 AND pos < h
+        UNION ALL
+        SELECT c.conv_id, 1 AS part, pos, token, bytes FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND pos >= h),
+    rebuilt AS (SELECT conv_id, row_number() OVER w AS depth, bytes, md5(string_agg(token, ',') OVER w) AS key
+                FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+    members AS (SELECT *, coalesce(lag(key) OVER (PARTITION BY conv_id ORDER BY depth), '') AS above FROM rebuilt
+                UNION ALL SELECT conv_id, 0 AS depth, 0 AS bytes, '' AS key, NULL AS above FROM convs),
+    nodes AS (SELECT key, any_value(depth) AS depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes
+              FROM members GROUP BY key),
+    children AS (SELECT above AS key, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above),
+    own AS (SELECT n.key, n.conv_id, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM nodes n LEFT JOIN children c USING (key)),
+    below AS (
+        SELECT m.key, sum(CASE WHEN m.conv_id = o.conv_id AND n_children = 0 THEN 1 ELSE 0 END) OVER w AS leaves,
+               sum(CASE WHEN m.conv_id = o.conv_id THEN saved ELSE 0 END) OVER w AS saved
+        FROM members m JOIN own o USING (key) WINDOW w AS (PARTITION BY m.conv_id ORDER BY m.depth DESC)),
+    sums AS (SELECT key, sum(leaves)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM below GROUP BY key),
+    lengths AS (SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id),
+    ends AS (SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM members JOIN lengths USING (conv_id, depth) GROUP BY key)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, o.n_children, n_leaves, saved_tokens,
+           sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes n JOIN own o USING (key) JOIN sums USING (key) LEFT JOIN nodes p ON n.above = p.key LEFT JOIN ends e ON e.key = n.key
+"""

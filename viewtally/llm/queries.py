@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtally.llm import bpe, decontamination, language, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
+from viewtally.llm import bpe, conversation_trie, decontamination, language, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -107,3 +107,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     return nearest.nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the conversations, rebuilt with the heads of their families."""
+    seqs = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.share_heads(seqs, family=5, heads=9))
