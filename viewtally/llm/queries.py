@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtally.llm import bpe, conversation_trie, decontamination, language, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
+from viewtally.llm import bpe, conversation_trie, decontamination, language, lattice, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -114,3 +114,9 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the conversations, rebuilt with the heads of their families."""
     seqs = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
     return conversation_trie.prefix_trie(conversation_trie.share_heads(seqs, family=5, heads=9))
+
+
+@query
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector by a cosine of 0.9 or more."""
+    return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
