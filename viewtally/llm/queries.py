@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtally.llm import bpe, conversation_trie, decontamination, language, lattice, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
+from viewtally.llm import alignment, bpe, conversation_trie, decontamination, language, lattice, near_duplicates, nearest, quality, secrets, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -120,3 +120,13 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector by a cosine of 0.9 or more."""
     return lattice.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document, with corpus-wide counts of id pairs."""
+    first = alignment.byte_level_tokenizer(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    second = alignment.piece_tokenizer(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = alignment.score_links(alignment.align_documents(docs, first, second, keep=["doc_id"]))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links")
