@@ -15,7 +15,7 @@ SQL: dict[str, str] = {}
 EXTRA: dict[str, str] = {}  # tables only the checks know
 MODULES = (
     "base", "facts", "channels", "programs", "music", "live", "launcher", "logins", "users",
-    "retention", "rollout", "quality", "crashes", "distributions", "identity", "streams",
+    "retention", "rollout", "quality", "crashes", "distributions", "identity", "streams", "stores",
 )
 
 

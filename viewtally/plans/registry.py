@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 MODULES = (
     "base", "facts", "channels", "programs", "music", "live", "launcher", "logins", "users",
-    "retention", "rollout", "quality", "crashes", "distributions", "identity", "streams",
+    "retention", "rollout", "quality", "crashes", "distributions", "identity", "streams", "stores",
 )
 
 

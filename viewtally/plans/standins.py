@@ -249,6 +249,15 @@ SELECT p_partkey AS id, 'u' || CAST(p_partkey AS STRING) AS user_id, {mac('p_par
   {model('p_partkey')} AS product_model, {promo('p_partkey')} AS promotion_channel,
   'Box_3.1.' || CAST(p_partkey % 12 AS STRING) AS current_version,
   CASE WHEN p_size % 3 = 0 THEN 'yun' ELSE 'own' END AS origin_type, CAST(p_size % 4 AS INT) AS userType
+FROM {{part}}""",
+    # accounts whose MACs and Wi-Fi MACs repeat in chains, and one MAC of a third of all
+    "device": f"""
+SELECT p_partkey AS id,
+  CASE WHEN p_partkey % 3 = 0 THEN 'M0' WHEN p_partkey % 29 = 0 THEN '' WHEN p_partkey % 31 = 0 THEN NULL
+    ELSE 'M' || CAST(CAST(floor(p_partkey / 4) AS BIGINT) AS STRING) END AS mac,
+  CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '02:00:00:00:00:00'
+    ELSE 'W' || CAST(CAST(floor((p_partkey + 2) / 4) AS BIGINT) AS STRING) END AS wifi_mac,
+  CASE WHEN p_partkey % 37 = 0 THEN NULL ELSE {model('CAST(floor(p_partkey / 60) AS BIGINT)')} END AS product_model
 FROM {{part}}""",
     "program": f"""
 SELECT 'v' || CAST(s_suppkey AS STRING) AS sid, s_suppkey AS program_sk, s_name AS title,

@@ -40,22 +40,37 @@ def pv_uv_stream(
 ) -> DataFrame:
     """Plays and users per window: (start, keys, pv, uv).
 
-    State per window is one sketch by default. ``exact=True`` counts users
-    exactly, but then the stream must first be reduced to one row per window,
-    key and user, which ``dropDuplicatesWithinWatermark`` bounds in time; the
-    rows then carry no pv, and ``late`` must be at least as long as ``every``.
+    State per window is one sketch by default. ``exact=True`` counts exactly,
+    the same on a stream as on a table (``exact_counts``).
     """
+    if exact:
+        return exact_counts(events, keys, user, ts, every, late)
     watermarked = _watermarked(events, ts, late)
-    if exact and events.isStreaming:
-        slotted = watermarked.withColumn("_w", F.window(ts, every)["start"])
-        once = slotted.where(F.col(user).isNotNull()).dropDuplicatesWithinWatermark(["_w", *keys, user])
-        out = once.groupBy(F.window(ts, every), *keys).agg(F.count(F.lit(1)).alias("uv"))
-        return out.select(F.col("window.start").alias("start"), *keys, "uv")
-    users = F.count_distinct(user) if exact else F.approx_count_distinct(user, error)
+    users = F.approx_count_distinct(user, error)
     out = watermarked.groupBy(F.window(ts, every), *keys).agg(F.count(user).alias("pv"), users.alias("uv"))
     return out.select(F.col("window.start").alias("start"), *keys, "pv", "uv")
 
 
+def exact_counts(
+    events: DataFrame, keys: Sequence[str] = (), user: str = "userId", ts: str = "datetime", every: str = "1 hour", late: str = "2 hours"
+) -> DataFrame:
+    """Exact plays and users per window: (start, keys, pv, uv).
+
+    Two aggregations one after the other, both with state: plays per window,
+    keys and user, then plays and users per window and keys. A window leaves the
+    first when the watermark has passed its end, and then the second, so the
+    state is one number for each user of an open window, spread over tasks by
+    user as well. Rows later than ``late`` are dropped, as any watermark does.
+    Rows without a user count in neither number, but their window appears.
+    """
+    per_user = _watermarked(events, ts, late).groupBy(F.window(ts, every), *keys, F.col(user).alias("_user")).agg(F.count(F.lit(1)).alias("_n"))
+    named = F.col("_user").isNotNull()
+    out = per_user.groupBy("window", *keys).agg(
+        F.coalesce(F.sum(F.when(named, F.col("_n"))), F.lit(0)).cast("bigint").alias("pv"), F.count_if(named).alias("uv")
+    )
+    return out.select(F.col("window.start").alias("start"), *keys, "pv", "uv")
+
+
 def start_day_sink(stream: DataFrame, path: str, checkpoint: str, day: str = "day", available_now: bool = False) -> StreamingQuery:
     """Append finished windows to a table partitioned by day, exactly once."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
