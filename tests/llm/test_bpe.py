@@ -94,3 +94,10 @@ def test_empty_table(odd, vocabulary):
 def test_decode_refuses_unknown_ranks(spark, vocabulary):
     with pytest.raises(Exception, match="outside the vocabulary"):
         bpe.decode(spark.createDataFrame([([50_999],)], "token_ids array<int>"), vocabulary).collect()
+
+
+def test_every_code_point_is_of_the_class_the_library_gives_it(vocabulary, library):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}a1{chr(c)}1 {chr(c)}'d {chr(c)} !{chr(c)}!" for c in points]
+    bad = [hex(c) for c, t, ids in zip(points, texts, encoded(texts, vocabulary), strict=True) if ids != library.encode_ordinary(t)]
+    assert bad == []

@@ -103,11 +103,40 @@ def test_blocks_compare_every_pair_between_groups(spark, monkeypatch):
     told = [(min(r.a, r.b), max(r.a, r.b)) for r in nd.alike(members, 0.9, 8).collect()]
     got = set(told)
     assert len(told) == len(got)  # the second band tells no pair again
-    nearest = nd.alike(members, 0.9, 8, nearest=True).collect()
-    assert nearest and {(min(r.a, r.b), max(r.a, r.b)) for r in nearest} <= got and len(nearest) <= 2 * 30 * 8
     assert got == {(i, j) for i in range(30) for j in range(i + 1, 30) if i // 2 != j // 2 and bool(i % 3) == bool(j % 3)}
 
 
+def test_neighbours_tell_one_good_pair_a_member_and_bucket(spark):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 256, 64).astype(np.uint8)
+    rows = [(b, b, i, i // 2, bytearray((base if i % 3 else base[::-1].copy()).tobytes())) for b in (0, 1) for i in range(30)]
+    members = spark.createDataFrame(rows, "bucket long, band int, node long, root long, sketch binary")
+    told = nd.neighbours(members, 0.9, 8, 8, 0).collect()
+    assert len({r.b for r in told}) > 20 and len(told) <= 2 * 30
+    assert all(r.x == r.a // 2 and r.y == r.b // 2 and r.x != r.y and bool(r.a % 3) == bool(r.b % 3) and r.agreeing == 1.0 for r in told)
+
+
+def test_texts_are_compared_whatever_their_ids(make_docs):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    rows = [
+        (2, long), (2, "quite another text of the same id with words of its own"), (4, long + " eighteen"), (None, long), (None, "no id here but words enough to see"),
+        (None, "No id here, but words enough to see!"), (7, "NO ID HERE but words enough to see"), (8, long.upper()), (8, None),
+    ]
+    docs = make_docs(rows)
+    got = sorted((r.doc_id, r.text_id, r.class_id) for r in nd.near_duplicates(docs).fillna(-1).collect())
+    assert got == sorted([(2, 2, 2), (2, 2, 2), (4, 4, 2), (-1, 2, 2), (-1, 7, 7), (-1, 7, 7), (7, 7, 7), (8, 2, 2), (8, 8, 8)])
+    kept = sorted(((r.doc_id, r.text) for r in nd.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([rows[0], rows[1], rows[6], rows[8]], key=str)
+
+
+def test_one_of_each_keeps_columns_and_one_of_repeated_rows(make_docs):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "A b c d e f g"), (None, "x y z"), (None, "x y z"), (3, "!")]
+    docs = make_docs(rows).withColumns({"digest": F.lit(1), "a.b": F.lit("z"), "root": F.lit(None).cast("int")})
+    out = nd.one_of_each(docs)
+    assert out.columns == docs.columns and out.schema["digest"].dataType == docs.schema["digest"].dataType
+    assert sorted(((r.doc_id, r.text, r["a.b"]) for r in out.collect()), key=str) == sorted([(1, "A b c d e f g", "z"), (None, "x y z", "z"), (3, "!", "z")], key=str)
+
+
 def test_odd_rows(odd):
     rows = nd.near_duplicates(odd.withColumn("class_id", F.lit(7))).collect()
     assert len(rows) == len(ODD)

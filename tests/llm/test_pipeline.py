@@ -6,6 +6,7 @@ import hashlib
 import brute
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 from conftest import ODD
 
@@ -63,10 +64,17 @@ def test_empty_documents(spark, sf_dir, odd):
         assert docs.count() == 0
 
 
-def test_near_dedup_keeps_one_row_of_a_repeated_id(spark, sf_dir, make_docs):
+def test_near_dedup_keeps_every_text_of_a_repeated_id(spark, sf_dir, make_docs):
     docs = make_docs([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "other words are in this one"), (2, "and yet another text of that id")])
     rows = corpus_pipeline.keep_one_of_each(spark, docs, sf_dir).collect()
-    assert sorted((r.doc_id, r.text) for r in rows) == [(1, "a b c d e f g"), (2, "and yet another text of that id")]
+    assert sorted((r.doc_id, r.text) for r in rows) == [(1, "a b c d e f g"), (2, "and yet another text of that id"), (2, "other words are in this one")]
+
+
+def test_language_id_keeps_columns_of_any_name(spark, sf_dir, documents):
+    docs = documents.limit(20).withColumns({"score": F.lit("mine"), "lang_pred": F.lit(1), "bits_per_byte": F.lit(2), "a.b": F.lit(3), "c0": F.lit(4)})
+    out = corpus_pipeline.keep_known_languages(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    assert {(r["score"], r["lang_pred"], r["bits_per_byte"], r["a.b"], r["c0"]) for r in out.collect()} == {("mine", 1, 2, 3, 4)}
 
 
 def test_language_id_keeps_short_texts_with_secrets_capitals_and_numbers(spark, sf_dir, odd, documents, make_docs):

@@ -38,6 +38,13 @@ WHITE_SPACE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232,
 #: What the pre-token pattern takes after an apostrophe.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
+#: Letters and numbers of Unicode 16.0, which the unicodedata of some Pythons does not know yet.
+LATE_LETTERS = (
+    "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E 11390-113B5 "
+    "113B7-113B7 113D1-113D1 113D3-113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF-18CFF 1E5D0-1E5ED 1E5F0-1E5F0"
+)
+LATE_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 
 NO_RANK = -1
@@ -158,6 +165,9 @@ def character_classes() -> np.ndarray:
     """Letter, number, white space or other, by code point."""
     kinds = {"L": LETTER, "N": NUMBER}
     classes = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(sys.maxunicode + 1)), np.uint8)
+    for kind, ranges in ((LETTER, LATE_LETTERS), (NUMBER, LATE_NUMBERS)):
+        for low, high in (r.split("-") for r in ranges.split()):
+            classes[int(low, 16) : int(high, 16) + 1] = kind
     classes[list(WHITE_SPACE)] = SPACE
     return classes
 

@@ -11,17 +11,18 @@ random, and a register keeps the shingle that arrived first. Two texts agree in
 a register with probability J. A shingle stops once its next arrival is later
 than every register of its text.
 
-Texts with equal words are one class at the start. A byte of each register is
-kept; the bytes are cut into bands, and equal bands put texts into a bucket.
-Pairs are verified exactly, and what verified pairs connect is a group. First
-every text of a bucket is compared with the first one of the bucket and with the
-one that agrees with it in most registers, which makes two pairs for each text
-at most and joins nearly all of a large set of copies. Then texts of a bucket
-that are in different groups are compared by their registers, in blocks of
-``BLOCK`` texts, and those that agree often enough are verified (``MARGIN`` below
-the wanted similarity is four standard deviations of that estimate). No
-pair within a group is made then, and a pair is made in the first band only in
-which it agrees.
+Texts with equal words are one text, whatever the ids of their rows. A byte of
+each register is kept; the bytes are cut into bands, and equal bands put texts
+into a bucket. Pairs are verified exactly, and what verified pairs connect is a
+group. Large groups are joined in a few rounds first: the texts of a bucket are
+sorted by their registers, each is compared with the ``WINDOW`` ones before it and
+with the first one of its stretch, and the best pair of each text is verified,
+one pair a text and round. Buckets whose texts are all in one group are done. The
+texts of different groups in the others are then compared by their registers, in
+blocks of ``BLOCK`` texts, and those that agree often enough are verified
+(``MARGIN`` below the wanted similarity is four standard deviations of that
+estimate). No pair within a group is made then, and a pair is made in the first
+band only in which it agrees.
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ SIMILARITY = 0.8
 BANDS = 32
 ROWS = 8
 BLOCK = 1000
+#: Texts before it that a text is compared with in its bucket.
+WINDOW = 4
+#: Bands whose buckets the rounds look at; later rounds only see what is still open.
+ROUND_BANDS = (6, 32)
 MARGIN = 0.10
 
 _STEP = np.uint64(0xA0761D6478BD642F)
@@ -112,13 +117,13 @@ def sketches(docs: DataFrame, *, id: str, text: str, size: int, n: int) -> DataF
     return map_text(docs, text, results, worker, keep=[id]).toDF("id", "digest", "sketch")
 
 
-def weighted_shingles(docs: DataFrame, *, size: int) -> DataFrame:
-    """(id, s, w) of (id, t): the shingles in order, six bytes each, and their weights, null if all are one."""
-    results = T.StructType([T.StructField("s", T.BinaryType()), T.StructField("w", T.BinaryType())])
+def weighted_shingles(docs: DataFrame, *, text: str, size: int) -> DataFrame:
+    """(digest, s, w): of each text its words' digest, its shingles in order, six bytes each, and their weights, null if all are one."""
+    results = T.StructType([T.StructField(c, T.BinaryType()) for c in ("digest", "s", "w")])
 
     def worker():
         def sets(raw, offsets):
-            owners, elements, weights, _ = shingles(raw, offsets, size)
+            owners, elements, weights, digests = shingles(raw, offsets, size)
             elements >>= np.uint64(16)
             order = np.lexsort((elements, owners))
             elements, weights = elements[order], weights[order].astype(np.int32)
@@ -126,13 +131,29 @@ def weighted_shingles(docs: DataFrame, *, size: int) -> DataFrame:
             spans = list(zip(cut[:-1], cut[1:], strict=True))
             packed = elements.view(np.uint8).reshape(-1, 8)[:, :6]
             return [
-                [packed[i:j].tobytes() for i, j in spans],
+                digests, [packed[i:j].tobytes() for i, j in spans],
                 [None if (weights[i:j] == 1).all() else weights[i:j].tobytes() for i, j in spans],
-            ]
+            ]
 
         return sets
 
-    return map_text(docs, "t", results, worker, keep=["id"])
+    return map_text(docs, text, results, worker, keep=[])
+
+
+def word_digests(docs: DataFrame, *, text: str, name: str) -> DataFrame:
+    """``docs`` with the digest of each text's words, null for a text without words."""
+
+    def worker():
+        def digests(raw, offsets):
+            raw = LOWER[raw]
+            starts, ends, rows = words(raw, offsets)
+            hashes = span_hashes(raw, starts, ends)
+            first = np.searchsorted(rows, np.arange(len(offsets))).tolist()
+            return [[xxhash.xxh3_128_digest(hashes[a:b].tobytes()) if b > a else None for a, b in zip(first, first[1:])]]  # noqa: B905
+
+        return digests
+
+    return map_text(docs, text, T.StructType([T.StructField(name, T.BinaryType())]), worker)
 
 
 def unpacked(s: bytes, w: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -162,8 +183,8 @@ def probability_jaccard(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarr
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b, ...) whose exact similarity is at least ``similarity``."""
-    left = sets.select(F.col("id").alias("a"), F.col("s").alias("s1"), F.col("w").alias("w1"))
-    right = sets.select(F.col("id").alias("b"), F.col("s").alias("s2"), F.col("w").alias("w2"))
+    left = sets.select(F.col("node").alias("a"), F.col("s").alias("s1"), F.col("w").alias("w1"))
+    right = sets.select(F.col("node").alias("b"), F.col("s").alias("s2"), F.col("w").alias("w2"))
     both = pairs.join(left, "a").join(right, "b").select(*pairs.columns, "s1", "w1", "s2", "w2")
     n = len(pairs.columns)
 
@@ -176,6 +197,23 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(compare, pairs.schema)
 
 
+def text_classes(rows_of: DataFrame, docs: DataFrame, *, text: str, size: int, similarity: float, bands: int, rows: int) -> DataFrame:
+    """(digest, text_id, class_id, root) of every text of ``rows_of`` (id, digest, sketch), the sketches of ``docs``."""
+    texts = rows_of.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("text_id"), F.min("sketch").alias("sketch"))
+    texts = saved(texts.withColumn("node", F.monotonically_increasing_id()))
+    banded = texts.select("node", "sketch", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
+    key = F.xxhash64("band", F.substring("sketch", F.col("band") * rows + 1, F.lit(rows)))
+    shared = banded.select("node", "band", key.alias("bucket"))
+    several = shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    members = saved(shared.join(several, "bucket", "left_semi"))
+    compared = texts.join(members.select("node").distinct(), "node", "left_semi").select("digest", "node")
+    sets = weighted_shingles(docs, text=text, size=size).join(compared, "digest")
+    sets = saved(sets.groupBy("node").agg(F.min("s").alias("s"), F.min("w").alias("w")))
+    groups = grouped(members, sets, texts.select("node", "sketch"), similarity, rows, bands)
+    rooted = texts.join(groups, "node", "left").select("digest", "text_id", F.coalesce("root", "node").alias("root"))
+    return saved(rooted.join(rooted.groupBy("root").agg(F.min("text_id").alias("class_id")), "root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -189,58 +227,133 @@ def near_duplicates(
     """(id, text_id, class_id) for each row of ``docs``.
 
     ``text_id`` is the smallest id with the same words, ``class_id`` the smallest
-    id that links lead to. A text without words (null, empty, marks only) is a
-    class of its own. Rows without an id have null classes. Rows of one id are
-    one document; if their texts differ, its classes are the smallest ones of
-    its texts, and others are compared with the first text in order. Jobs run
-    while this is called: steps go to the folder of ``spark.checkpoint.dir``.
+    id that links lead to. Texts are compared whatever the ids of their rows:
+    rows that repeat an id each have the class of their own text, and those
+    without an id can be in the class of others; the ids of a class of which no
+    row has one are null. A text without words (null, empty, marks only) is a
+    class of its own, its row's id. Jobs run while this is called: steps go to
+    the folder of ``spark.checkpoint.dir``.
     """
     own = docs.select(F.col(quoted(id)).alias("id"), F.col(quoted(text)).cast("string").alias("t"))
-    named = own.where("id IS NOT NULL")
-    sketched = saved(sketches(named, id="id", text="t", size=size, n=bands * rows).where("digest IS NOT NULL"))
-    texts = saved(sketched.groupBy("digest").agg(F.min("id").alias("text_id"), F.min_by("sketch", "id").alias("sketch")))
-    banded = texts.select(F.col("text_id").alias("id"), "sketch", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
-    key = F.xxhash64("band", F.substring("sketch", F.col("band") * rows + 1, F.lit(rows)))
-    shared = banded.select("id", "band", key.alias("bucket"))
-    several = shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = saved(shared.join(several, "bucket", "left_semi"))
-    compared = named.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("t").alias("t"))
-    sets = saved(weighted_shingles(compared, size=size))
-    registers_of = texts.groupBy(F.col("text_id").alias("id")).agg(F.min("sketch").alias("sketch"))
-    groups = grouped(members, sets, registers_of, similarity, rows)
-
-    copies = sketched.select("id", "digest").join(texts.select("digest", "text_id"), "digest")
-    classes = (
-        copies.join(groups.select(F.col("id").alias("text_id"), "root"), "text_id", "left")
-        .groupBy("id").agg(F.min("text_id").alias("text_id"), F.min(F.coalesce("root", "text_id")).alias("class_id"))
-    )
-    return own.select("id").join(classes, "id", "left").select(
-        F.col("id").alias(id), F.coalesce("text_id", "id").alias("text_id"), F.coalesce("class_id", "id").alias("class_id")
-    )
+    sketched = saved(sketches(own, id="id", text="t", size=size, n=bands * rows))
+    classes = text_classes(sketched, own, text="t", size=size, similarity=similarity, bands=bands, rows=rows)
+    told = sketched.where("digest IS NOT NULL").select("id", "digest").join(classes, "digest").select("id", "text_id", "class_id")
+    wordless = sketched.where("digest IS NULL").select("id", F.col("id").alias("text_id"), F.col("id").alias("class_id"))
+    return told.unionAll(wordless).select(F.col("id").alias(id), "text_id", "class_id")
+
+
+def one_of_each(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text",
+    size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """One row of ``docs`` for each class of near duplicates, and every row without words.
+
+    The row with the smallest id of its class stays (a null id is larger than
+    others; of texts without any id the one with the smallest digest). Of several
+    rows with that id and the same words the one with the first text stays. Rows
+    that only share an id with another text are not touched.
+    """
+    own = docs.select(F.col(quoted(id)).alias("id"), F.col(quoted(text)).cast("string").alias("t"))
+    sketched = saved(sketches(own, id="id", text="t", size=size, n=bands * rows))
+    classes = text_classes(sketched, own, text="t", size=size, similarity=similarity, bands=bands, rows=rows)
+    first = F.min(F.struct(F.col("text_id").isNull().alias("nameless"), "text_id", "digest")).alias("k")
+    keepers = classes.groupBy("root").agg(first).select("k.digest", F.col("k.text_id").alias("keeper"))
+    repeated = sketched.where("digest IS NOT NULL").groupBy("digest", F.col("id").alias("keeper")).agg(F.count("*").alias("n")).where("n > 1")
+    again = repeated.select(F.col("digest").alias("d2"), F.col("keeper").alias("k2"), F.lit(True).alias("again"))
+    keepers = keepers.join(again, (F.col("digest") == F.col("d2")) & F.col("keeper").eqNullSafe(F.col("k2")), "left")
+    keepers = keepers.select(F.col("digest").alias("d"), F.col("keeper").alias("k"), F.coalesce("again", F.lit(False)).alias("again"))
+
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.select(*[F.col(quoted(c)).alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    at = {c: n for c, n in zip(docs.columns, names, strict=True)}
+    # map_text takes the text out of the columns, so it goes in twice
+    marked = word_digests(plain.withColumn("t", F.col(at[text]).cast("string")), text="t", name="d1").drop("t")
+    wordless = marked.where("d1 IS NULL").select(*names)
+    kept = marked.where("d1 IS NOT NULL").join(keepers, (F.col("d1") == F.col("d")) & F.col(at[id]).eqNullSafe(F.col("k")))
+    alone = kept.where("NOT again").select(*names)
+    order = F.struct(F.col(at[text]).cast("string"), F.xxhash64(*[F.to_json(F.struct(n)) for n in names]))
+    one = kept.where("again").groupBy("d1", at[id]).agg(F.min_by(F.struct(*names), order).alias("r")).select("r.*")
+    return wordless.unionAll(alone).unionAll(one.select(*names)).toDF(*docs.columns)
+
+
+def grouped(members: DataFrame, sets: DataFrame, registers_of: DataFrame, similarity: float, rows: int, bands: int) -> DataFrame:
+    """(node, root) of the members (node, band, bucket): what verified pairs of one bucket connect has one root."""
+    current = members.select("node", F.col("node").alias("root")).distinct()
+    for number, few in enumerate(ROUND_BANDS):
+        open_ = _mixed(members.where(F.col("band") < few).join(current, "node"))
+        near = neighbours(open_.join(registers_of, "node"), similarity - MARGIN, rows, bands, number)
+        best = near.groupBy("b").agg(F.max_by(F.struct("a", "x", "y"), F.struct("agreeing", "a")).alias("p")).select("p.a", "b", "p.x", "p.y")
+        links = saved(verified(best, sets, similarity).select("x", "y"))
+        if links.isEmpty():
+            continue
+        moved = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        current = saved(_renamed(current, moved))
+    open_ = _mixed(members.join(current, "node"))
+    cells = open_.join(registers_of, "node").select("bucket", "band", F.col("node").alias("id"), "root", "sketch")
+    links = saved(verified(alike(cells, similarity - MARGIN, rows), sets, similarity).select("x", "y"))
+    if links.isEmpty():
+        return current
+    return _renamed(current, connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
 
 
-def grouped(members: DataFrame, sets: DataFrame, registers_of: DataFrame, similarity: float, rows: int) -> DataFrame:
-    """(id, root) of the members (id, band, bucket): what verified pairs of one bucket connect has one root."""
-    alone = members.select("id", "band", "bucket", F.col("id").alias("root"))
-    leaders = alone.groupBy("bucket").agg(F.min("id").alias("a"))
-    pairs = alone.join(leaders, "bucket").where("id <> a").select("a", F.col("id").alias("b"))
-    near = alike(alone.join(registers_of, "id"), similarity - MARGIN, rows, nearest=True)
-    first = pairs.unionAll(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
-    moved = saved(connected_components(verified(first, sets, similarity)))
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of buckets whose members are in more than one group."""
+    mixed = members.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("bucket")
+    return members.join(mixed, "bucket", "left_semi")
 
-    open_ = _renamed(alone, moved)
-    mixed = open_.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p <> q").select("bucket")
-    open_ = open_.join(mixed, "bucket", "left_semi")
-    links = verified(alike(open_.join(registers_of, "id"), similarity - MARGIN, rows), sets, similarity)
-    again = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return _renamed(_renamed(members.select("id", F.col("id").alias("root")).distinct(), moved), again)
 
+def neighbours(members: DataFrame, agreement: float, rows: int, bands: int, turn: int) -> DataFrame:
+    """(a, b, x, y, agreeing): of each member and bucket its best pair with a member of another group near it.
 
-def alike(members: DataFrame, agreement: float, rows: int, nearest: bool = False) -> DataFrame:
+    The members (node, bucket, band, root, sketch) of a bucket are sorted by
+    their registers, beginning behind the band (another place each ``turn``), in
+    range partitions that cut large buckets. A member meets the ``WINDOW`` ones
+    before it and the first one of its bucket in the partition.
+    """
+    start = F.pmod(F.col("band") + 1 + turn * 11, F.lit(bands)) * rows
+    turned = F.concat(F.substring("sketch", start + 1, F.lit(bands * rows)), F.substring("sketch", F.lit(1), start))
+    rows_of = members.select("bucket", turned.alias("turned"), "node", "root")
+    dealt = rows_of.repartitionByRange("bucket", "turned", "node").sortWithinPartitions("bucket", "turned", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # the last rows of the batch before: bucket, node, root, registers
+        lead = None  # the first row of the bucket that goes on
+        for batch in batches:
+            if not len(batch):
+                continue
+            part = [batch.column(i).to_numpy() for i in (0, 2, 3)]
+            part.append(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), -1))
+            old = 0 if before is None else len(before[0])
+            bucket, node, root, bits = part if before is None else [np.concatenate(x) for x in zip(before, part, strict=True)]
+            n = len(bucket)
+            best, other, its = np.full(n, -1.0), np.zeros(n, np.int64), np.zeros(n, np.int64)
+
+            def meet(at, agreeing, who, whose):
+                better = agreeing > best[at]  # noqa: B023
+                best[at[better]], other[at[better]], its[at[better]] = agreeing[better], who[better], whose[better]  # noqa: B023
+
+            for step in range(1, min(WINDOW, n - 1) + 1):
+                at = np.arange(max(step, old), n)
+                at = at[(bucket[at] == bucket[at - step]) & (root[at] != root[at - step])]
+                meet(at, (bits[at] == bits[at - step]).mean(axis=1), node[at - step], root[at - step])
+            new = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            for low, high in zip(new, np.append(new[1:], n), strict=True):
+                if lead is None or lead[0] != bucket[low]:
+                    lead = bucket[low], node[low], root[low], bits[low]
+                at = np.arange(max(low, old), high)
+                at = at[root[at] != lead[2]]
+                meet(at, (bits[at] == lead[3]).mean(axis=1), np.full(len(at), lead[1]), np.full(len(at), lead[2]))
+            at = np.flatnonzero(best >= agreement)
+            yield pa.RecordBatch.from_arrays([pa.array(v[at]) for v in (other, node, its, root, best)], names=["a", "b", "x", "y", "agreeing"])
+            before = [v[-WINDOW:] for v in (bucket, node, root, bits)]
+
+    return dealt.mapInArrow(run, "a long, b long, x long, y long, agreeing double")
+
+
+def alike(members: DataFrame, agreement: float, rows: int) -> DataFrame:
     """Pairs (a, b, x, y) of (bucket, band, id, root, sketch) in one bucket, of different roots, that agree in so many registers.
 
-    A pair is told in the first band of ``rows`` registers in which it agrees;
-    with ``nearest``, of those only the one of each member that agrees most. A
+    A pair is told in the first band of ``rows`` registers in which it agrees. A
     bucket is cut into blocks of about ``BLOCK`` members, and each pair of
     blocks is a cell of its own, so that no task holds a whole large bucket.
     """
@@ -264,7 +377,7 @@ def alike(members: DataFrame, agreement: float, rows: int, nearest: bool = False
                 rest = roots != roots[k]
                 if not within:
                     rest &= own > own[k]
-                elif not nearest:
+                else:
                     rest &= roots > roots[k]
                 at = np.flatnonzero(rest)
                 equal = bits[at] == bits[k]
@@ -272,8 +385,6 @@ def alike(members: DataFrame, agreement: float, rows: int, nearest: bool = False
                 new = agreeing >= agreement
                 new[new] = equal[new].reshape(int(new.sum()), bits.shape[1] // rows, rows).all(axis=2).argmax(axis=1) == band
                 at = at[new]
-                if nearest and len(at):
-                    at = at[[np.argmax(agreeing[new])]]
                 first += [k] * len(at)
                 second.append(at)
             first, second = np.array(first, np.int64), np.concatenate(second)

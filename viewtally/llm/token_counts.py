@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from viewtally.llm.components import saved
 from viewtally.llm.textarrays import quoted
 
 BLOCK = 1024
@@ -38,8 +39,11 @@ def length_table(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     documents that fit, so the quantile q is the first limit with covered >= q.
     An empty histogram gives no rows.
     """
-    by = list(by)
-    parts = histogram.withColumn("block", F.floor(F.col("length") / BLOCK)).withColumn("tokens", F.col("length") * F.col("docs"))
+    names_by = list(by)
+    by = [f"g{i}" for i in range(len(names_by))]  # a column's name may be one of those below
+    plain = histogram.select(*[F.col(quoted(c)).alias(g) for c, g in zip(names_by, by, strict=True)], "length", "docs")
+    # counted once: both the blocks and their lengths come from it
+    parts = saved(plain).withColumn("block", F.floor(F.col("length") / BLOCK)).withColumn("tokens", F.col("length") * F.col("docs"))
     inside = W.partitionBy(*by, "block").orderBy(F.desc("length")).rowsBetween(W.unboundedPreceding, W.currentRow)
     longer = W.partitionBy(*by).orderBy(F.desc("block")).rowsBetween(W.unboundedPreceding, -1)
     every = W.partitionBy(*by)
@@ -65,7 +69,7 @@ def length_table(histogram: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         *by, "context_limit", "docs", "docs_from", "tokens_from",
         (F.col("all_tokens") - F.col("tokens_from") + F.col("context_limit") * F.col("docs_from")).alias("truncated_tokens"),
         ((F.col("all_docs") - F.col("docs_from") + F.col("docs")) / F.col("all_docs")).alias("covered"),
-    )
+    ).toDF(*names_by, "context_limit", "docs", "docs_from", "tokens_from", "truncated_tokens", "covered")
 
 
 def truncated_totals(histogram: DataFrame, limits: Sequence[int]) -> DataFrame:
