@@ -9,11 +9,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from viewtally.llm import bpe, decontamination, language, near_duplicates, secrets
 from viewtally.llm.queries import VOCABULARY_FILE, remainder, table
+from viewtally.llm.textarrays import quoted
 from viewtally.session import ensure_checkpoint_dir
 
 #: A text with fewer letters is not called foreign: a name or a quotation may be all it has.
@@ -29,27 +29,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     in a short text of any language.
     """
     model = language.fit_language_model(docs.where(remainder("doc_id", 5) != 0))
-    found = language.identify_language(docs, model).where(F.col("lang_pred") != language.UNDETERMINED)
+    # numbered columns: the results' names would hide those of documents
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.select(*[F.col(quoted(c)).alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    text = names[docs.columns.index("text")]
+    found = language.identify_language(plain.withColumn("t", F.col(text)), model, text="t", keep=names).where(F.col("lang_pred") != language.UNDETERMINED)
     letters = language.learned_letters(model)
     if letters:
-        used = F.col("text").rlike("[" + "".join(rf"\x{{{ord(x):X}}}" for x in letters) + "]")
-        found = found.where(used | (F.length(F.regexp_replace("text", r"\P{L}+", "")) < FOREIGN_LETTERS))
-    return found.select(*docs.columns)
+        used = F.col(text).rlike("[" + "".join(rf"\x{{{ord(x):X}}}" for x in letters) + "]")
+        found = found.where(used | (F.length(F.regexp_replace(text, r"\P{L}+", "")) < FOREIGN_LETTERS))
+    return found.select(*names).toDF(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every class of near duplicates, and documents without an id.
-
-    Rows of one id are one document: the one with the first text stays.
-    """
-    classes = near_duplicates.near_duplicates(docs).where("doc_id IS NOT NULL")
-    ids = classes.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n"))
-    gone = ids.where("class_id <> doc_id").select("doc_id")
-    repeated = ids.where("class_id = doc_id AND n > 1").select("doc_id")
-    first = W.partitionBy("doc_id").orderBy("text")
-    single = docs.join(gone.unionAll(repeated), "doc_id", "left_anti").select(*docs.columns)
-    one_of = docs.join(repeated, "doc_id", "left_semi").withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    return single.unionAll(one_of.select(*docs.columns))
+    """The first document of every class of near duplicates, and documents without words."""
+    return near_duplicates.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
