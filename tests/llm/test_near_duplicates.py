@@ -94,16 +94,38 @@ def test_groups_chains_and_shared_passages(make_docs):
     assert got == brute.near_classes(rows)
 
 
-def test_blocks_compare_every_pair_between_groups(spark, monkeypatch):
+def test_blocks_join_what_any_pair_between_groups_joins(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 4)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 256, 64).astype(np.uint8)
-    rows = [(b, b, i, i // 2, bytearray((base if i % 3 else base[::-1].copy()).tobytes())) for b in (0, 1) for i in range(30)]
-    members = spark.createDataFrame(rows, "bucket long, band int, id long, root long, sketch binary")
-    told = [(min(r.a, r.b), max(r.a, r.b)) for r in nd.alike(members, 0.9, 8).collect()]
-    got = set(told)
-    assert len(told) == len(got)  # the second band tells no pair again
-    assert got == {(i, j) for i in range(30) for j in range(i + 1, 30) if i // 2 != j // 2 and bool(i % 3) == bool(j % 3)}
+    # registers agree inside three kinds; sets are alike only for neighbours on a line of each kind
+    words = [rng.integers(0, 1 << 40, 400 + 4 * 30).astype(np.uint64) for _ in range(3)]
+    kinds = [base, base[::-1].copy(), rng.integers(0, 256, 64).astype(np.uint8)]
+
+    def packed(i):
+        own = np.sort(words[i % 3][4 * i : 4 * i + 90])
+        return bytearray(own.view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+
+    group = lambda i: 100 + i // 6 * 3 + i % 3
+    rows = [(b, b, i, group(i), bytearray(kinds[i % 3].tobytes()), packed(i), None) for b in (0, 1) for i in range(30) if i % 9 != 6]
+    members = spark.createDataFrame(rows, "bucket long, band int, node long, root long, sketch binary, s binary, w binary")
+    told = nd.joining_links(members, 0.7, 8).collect()
+    root = {r[3]: r[3] for r in rows}
+
+    def find(pairs):
+        at = dict(root)
+        for x, y in pairs:
+            x, y = at[x], at[y]
+            at = {k: min(x, y) if v in (x, y) else v for k, v in at.items()}
+        return at
+
+    def alike(i, j):
+        a, b = ({bytes(packed(k)[n : n + 6]) for n in range(0, 540, 6)} for k in (i, j))
+        return i % 3 == j % 3 and len(a & b) / len(a | b) >= 0.7
+
+    nodes = sorted({r[2] for r in rows})
+    every = [(group(i), group(j)) for i in nodes for j in nodes if i < j and alike(i, j)]
+    assert find((r.x, r.y) for r in told) == find(every) and 1 < len(set(find(every).values())) < len(root)
 
 
 def test_neighbours_tell_one_good_pair_a_member_and_bucket(spark):

@@ -19,10 +19,10 @@ sorted by their registers, each is compared with the ``WINDOW`` ones before it a
 with the first one of its stretch, and the best pair of each text is verified,
 one pair a text and round. Buckets whose texts are all in one group are done. The
 texts of different groups in the others are then compared by their registers, in
-blocks of ``BLOCK`` texts, and those that agree often enough are verified
+blocks of ``BLOCK`` texts, and those that agree often enough are verified there
 (``MARGIN`` below the wanted similarity is four standard deviations of that
-estimate). No pair within a group is made then, and a pair is made in the first
-band only in which it agrees.
+estimate). No pair within a group is tried then, a pair is tried in the first
+band only in which it agrees, and a block tells only links that join two groups.
 """
 
 from __future__ import annotations
@@ -289,8 +289,7 @@ def grouped(members: DataFrame, sets: DataFrame, registers_of: DataFrame, simila
         moved = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
         current = saved(_renamed(current, moved))
     open_ = _mixed(members.join(current, "node"))
-    cells = open_.join(registers_of, "node").select("bucket", "band", F.col("node").alias("id"), "root", "sketch")
-    links = saved(verified(alike(cells, similarity - MARGIN, rows), sets, similarity).select("x", "y"))
+    links = saved(joining_links(open_.join(registers_of, "node").join(sets, "node"), similarity, rows))
     if links.isEmpty():
         return current
     return _renamed(current, connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
@@ -350,49 +349,54 @@ def neighbours(members: DataFrame, agreement: float, rows: int, bands: int, turn
     return dealt.mapInArrow(run, "a long, b long, x long, y long, agreeing double")
 
 
-def alike(members: DataFrame, agreement: float, rows: int) -> DataFrame:
-    """Pairs (a, b, x, y) of (bucket, band, id, root, sketch) in one bucket, of different roots, that agree in so many registers.
+def joining_links(members: DataFrame, similarity: float, rows: int) -> DataFrame:
+    """(x, y): roots that a pair of (bucket, band, node, root, sketch, s, w) in one bucket connects.
 
-    A pair is told in the first band of ``rows`` registers in which it agrees. A
-    bucket is cut into blocks of about ``BLOCK`` members, and each pair of
-    blocks is a cell of its own, so that no task holds a whole large bucket.
+    A pair of different roots is tried in the first band of ``rows`` registers in
+    which it agrees, if it agrees in enough registers, and its sets are compared
+    exactly. A bucket is cut into blocks of about ``BLOCK`` members, and each
+    pair of blocks is a cell of its own, so that no task holds a whole large
+    bucket. A cell tries no pair whose groups it has joined already, and tells
+    one link less than it has groups at most.
     """
     blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     cells = members.join(blocks, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select(
-        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "band", "id", "root", "sketch"
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "band", "root", "sketch", "s", "w"
     )
     dealt = cells.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    of = members.schema
-    schema = T.StructType([T.StructField(n, of[c].dataType) for n, c in zip("abxy", ("id", "id", "root", "root"), strict=True)])
+    agreement = similarity - MARGIN
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            own, ids, roots = (cell.column(i).to_numpy() for i in (3, 5, 6))
-            bits = np.frombuffer(b"".join(cell.column(7).to_pylist()), np.uint8).reshape(len(cell), -1)
+            own, roots = cell.column(3).to_numpy(), cell.column(5).to_numpy()
+            bits = np.frombuffer(b"".join(cell.column(6).to_pylist()), np.uint8).reshape(len(cell), -1)
+            s, w = cell.column(7), cell.column(8)
             within, band = cell.column(1)[0] == cell.column(2)[0], cell.column(4)[0].as_py()
-            first, second = [], []
+            group = roots.copy()  # the roots as far as this cell has joined them
+            told = []
             for k in range(len(cell)):
-                rest = roots != roots[k]
-                if not within:
-                    rest &= own > own[k]
+                rest = group != group[k]
+                if within:
+                    rest[: k + 1] = False
                 else:
-                    rest &= roots > roots[k]
+                    rest &= own > own[k]
                 at = np.flatnonzero(rest)
                 equal = bits[at] == bits[k]
-                agreeing = equal.mean(axis=1)
-                new = agreeing >= agreement
+                new = equal.mean(axis=1) >= agreement
                 new[new] = equal[new].reshape(int(new.sum()), bits.shape[1] // rows, rows).all(axis=2).argmax(axis=1) == band
-                at = at[new]
-                first += [k] * len(at)
-                second.append(at)
-            first, second = np.array(first, np.int64), np.concatenate(second)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v[i]) for v, i in ((ids, first), (ids, second), (roots, first), (roots, second))], names=list("abxy")
-            )
-
-    return dealt.mapInArrow(compare, schema)
+                mine = None
+                for j in at[new].tolist():
+                    if group[j] == group[k]:
+                        continue
+                    mine = mine or unpacked(s[k].as_py(), w[k].as_py())
+                    if probability_jaccard(*mine, *unpacked(s[j].as_py(), w[j].as_py())) >= similarity - 1e-9:
+                        told.append((roots[k], roots[j]))
+                        group[group == group[j]] = group[k]
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in told], pa.int64()) for i in (0, 1)], names=["x", "y"])
+
+    return dealt.mapInArrow(compare, "x long, y long")
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
