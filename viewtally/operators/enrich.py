@@ -111,27 +111,34 @@ def network_enrich(
     return dim_enrich(fact, locations, {"_net": (network_key(ip), F.col(key))}, cols, default=default)
 
 
-BLOCK = 65536
+# Blocks of addresses by which ranges are found, each sixteen times the one before.
+BLOCK_SIZES = (1, 16, 256, 4096, 65536)
 
 
 def lookup_ranges(ips: DataFrame, ranges: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Range of each distinct address: (ip, cols).
 
-    ``ranges`` has text bounds ``lo`` and ``hi``. Ranges are cut at /16 blocks
-    and joined by block, so no row meets more than the ranges of its block and
-    no block holds more than 65,536 distinct addresses. Of overlapping ranges
-    the one that starts last wins.
+    ``ranges`` has text bounds ``lo`` and ``hi``. A range lies in the one or two
+    blocks of the smallest size it fits in (larger ones in all /16 blocks they
+    touch), and an address asks for its block of every size: an equi join in
+    which ranges that do not overlap put at most 17 into a block of their size,
+    however many single addresses are listed, and no block holds more than
+    65,536 distinct addresses. Of overlapping ranges the one that starts last
+    wins, the shorter one of equal starts.
     """
     lo, hi = ip_number("lo"), ip_number("hi")
-    blocks = (
-        ranges.select(lo.alias("_lo"), hi.alias("_hi"), *cols)
-        .where(F.col("_lo") <= F.col("_hi"))
-        .withColumn("_block", F.explode(F.sequence(F.floor(F.col("_lo") / BLOCK), F.floor(F.col("_hi") / BLOCK))))
-    )
+    own = ranges.select(lo.alias("_lo"), hi.alias("_hi"), *cols).where(F.col("_lo") <= F.col("_hi"))
+    size = F.lit(BLOCK_SIZES[-1])
+    for s in reversed(BLOCK_SIZES[:-1]):
+        size = F.when(F.col("_hi") - F.col("_lo") < s, F.lit(s)).otherwise(size)
+    own = own.withColumn("_size", size)
+    first, last = (F.floor(F.col(c) / F.col("_size")) for c in ("_lo", "_hi"))
+    blocks = own.withColumn("_block", F.explode(F.sequence(first, last)))
     numbered = ips.withColumn("_n", ip_number("ip")).where(F.col("_n").isNotNull())
+    asked = numbered.withColumn("_size", F.explode(F.array(*[F.lit(s) for s in BLOCK_SIZES])))
     found = (
-        numbered.withColumn("_block", F.floor(F.col("_n") / BLOCK))
-        .join(blocks, "_block")
+        asked.withColumn("_block", F.floor(F.col("_n") / F.col("_size")))
+        .join(blocks, ["_size", "_block"])
         .where(F.col("_n").between(F.col("_lo"), F.col("_hi")))
     )
     best = found.groupBy("ip").agg(F.max_by(F.struct(*cols), F.struct("_lo", -F.col("_hi"))).alias("_best"))
