@@ -48,15 +48,24 @@ def join_on_keys(left: DataFrame, right: DataFrame, names: Sequence[str], how: s
 
 
 NULL_KEY_PARTS = 4096
+#: Columns that tell rows of a log apart, and that its reports read anyway; the salt takes the first ones there are.
+TELLING = ("userId", "user_id", "datetime", "ts", "id", "mac", "videoSid", "ip")
+SALT_COLUMNS = 2
 
 
 def null_key_salt(df: DataFrame, keys: Sequence[str]) -> Column:
     """0 for a row that can match; another number, by a hash of the row, if a key is null.
 
     As one more key of an equi join (0 on the other side) it spreads rows with
-    null keys over all partitions instead of sending them to one.
+    null keys over all partitions instead of sending them to one. It reads two
+    columns (``TELLING`` ones, else the first that are no keys), so that the
+    others can be pruned, and only where a key is null.
     """
-    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "array", "struct", "variant") and f.name not in keys]
+    names = [c for c in TELLING if c in plain] + [c for c in plain if c not in TELLING]
+    if not names:
+        return F.lit(0)
+    plain = [F.col(f"`{c}`") for c in names[:SALT_COLUMNS]]
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     return F.when(missing, F.pmod(F.xxhash64(*plain), F.lit(NULL_KEY_PARTS)).cast("int") + 1).otherwise(0)
 

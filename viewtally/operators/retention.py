@@ -80,6 +80,17 @@ def cohort_retention(
     return out.where(F.col("kept") > 0) if drop_zero else out
 
 
+def day_span(day: str, longest: int) -> Column:
+    """Number of the span of ``longest + 1`` days a day lies in."""
+    return F.floor(F.unix_date(F.col(day).cast("date")) / (longest + 1))
+
+
+def day_spans(members: DataFrame, day: str, longest: int) -> DataFrame:
+    """Members once for each span (``_span``) that the days from ``day`` to ``longest`` days later touch."""
+    last = F.floor((F.unix_date(F.col(day).cast("date")) + longest) / (longest + 1))
+    return members.withColumn("_span", F.explode(F.sequence(day_span(day, longest), last)))
+
+
 def step_retention(
     cohort: DataFrame,
     activity: DataFrame,
@@ -92,8 +103,10 @@ def step_retention(
 ) -> DataFrame:
     """Users active on any day from the cohort day up to k days later.
 
-    The join finds each member's first active day of the window, at most one
-    row per day of the window; every offset follows from that one number.
+    The join finds each member's first active day of the window; every offset
+    follows from that one number. Days are cut into spans as long as the window,
+    of which a member's window touches two, so that the join is on user and span
+    and a member meets no more than the active days of two windows.
     """
     longest = max(offsets)
     members = cohort.where(F.col(user).isNotNull()).select(F.col(user).alias("_user"), F.col(day).alias("_day"), *dims)
@@ -102,7 +115,8 @@ def step_retention(
     last = _last_day(activity, day, until)
     gap = F.datediff("_active", "_day")
     first = (
-        members.join(active, "_user")
+        day_spans(members, "_day", longest)
+        .join(active.withColumn("_span", day_span("_active", longest)), ["_user", "_span"])
         .where(gap.between(0, longest))
         .groupBy("_user", "_day", *dims)
         .agg(F.min(gap).alias("_gap"))

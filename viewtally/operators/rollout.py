@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._keys import join_on_keys
+from .retention import day_span, day_spans
 
 
 def accumulate_new(
@@ -86,14 +87,16 @@ def non_play_rate(
     """New users, and those of them with any action in the next ``horizon``
     days (the first day included).
 
-    Actions are one row per user and day before the join, so a new user meets
-    at most ``horizon`` of them; groups without any action stay, with 0.
+    Actions are one row per user and day before the join, which is on the user
+    and spans of ``horizon`` days, so a new user meets those of two spans at
+    most; groups without any action stay, with 0.
     """
     members = new_users.where(F.col(user).isNotNull()).select(F.col(user).alias("_user"), F.col(day).alias("_new"), *keys)
     members = members.distinct()
     did = actions.select(F.col(user).alias("_user"), F.col(day).alias("_did")).distinct()
     after = F.datediff("_did", "_new").between(0, horizon - 1)
-    hits = members.join(did, "_user").where(after).select("_user", "_new", *keys).distinct()
+    spans = day_spans(members, "_new", horizon - 1)
+    hits = spans.join(did.withColumn("_span", day_span("_did", horizon - 1)), ["_user", "_span"]).where(after).select("_user", "_new", *keys).distinct()
     marked = members.withColumn("_hit", F.lit(0)).unionByName(hits.withColumn("_hit", F.lit(1)))
     per_user = marked.groupBy("_user", *keys).agg(F.max("_hit").alias("_hit"))
     return per_user.groupBy(*keys).agg(
