@@ -7,9 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._keys import Key, as_list, key_names
+from ._keys import Key, as_list, join_on_keys, key_names
 from .counts import with_totals
 
+#: Counts of one block of a threshold curve.
+CURVE_BLOCK = 1024
+
 
 def count_histogram(
     df: DataFrame,
@@ -53,9 +56,11 @@ def threshold_curve(
     Columns (by, n, valid_uv, valid_pv, uv, pv). ``user`` is the column whose
     distinct values are "users"; it must be part of the entity. A user enters
     the curve at the smallest count of any of their entities, so one running
-    sum replaces one query per threshold. The window sorts only the distinct
-    counts of a group: their sum cannot exceed the number of rows, so N rows
-    have at most sqrt(2N) of them.
+    sum replaces one query per threshold. Only the distinct counts of a group
+    are sorted: their sum cannot exceed the number of rows, so N rows have at
+    most sqrt(2N) of them. The running sum has two levels, inside blocks of
+    ``CURVE_BLOCK`` counts and over the blocks, so that a curve without groups
+    is not one task.
     """
     by, entity = as_list(by), as_list(entity)
     if where is not None:
@@ -74,15 +79,22 @@ def threshold_curve(
             .groupBy(*names, "n")
             .agg(F.sum("_pv").alias("_pv"), F.sum("_uv").alias("_uv"))
         )
-    upto = Window.partitionBy(*names).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    blocked = steps.withColumn("_block", F.floor(F.col("n") / CURVE_BLOCK))
+    totals = blocked.groupBy(*names, "_block").agg(F.sum("_uv").alias("_bu"), F.sum("_pv").alias("_bp"))
+    earlier = Window.partitionBy(*names).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*names)
-    return steps.select(
+    totals = totals.select(
         *names,
-        "n",
-        F.sum("_uv").over(upto).alias("valid_uv"),
-        F.sum("_pv").over(upto).alias("valid_pv"),
-        F.sum("_uv").over(whole).alias("uv"),
-        F.sum("_pv").over(whole).alias("pv"),
+        "_block",
+        F.coalesce(F.sum("_bu").over(earlier), F.lit(0)).alias("_u0"),
+        F.coalesce(F.sum("_bp").over(earlier), F.lit(0)).alias("_p0"),
+        F.sum("_bu").over(whole).alias("uv"),
+        F.sum("_bp").over(whole).alias("pv"),
+    )
+    upto = Window.partitionBy(*names, "_block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    inside = blocked.withColumn("_u1", F.sum("_uv").over(upto)).withColumn("_p1", F.sum("_pv").over(upto))
+    return join_on_keys(inside, totals, [*names, "_block"]).select(
+        *names, "n", (F.col("_u0") + F.col("_u1")).alias("valid_uv"), (F.col("_p0") + F.col("_p1")).alias("valid_pv"), "uv", "pv"
     )
 
 
