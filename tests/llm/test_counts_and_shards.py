@@ -80,7 +80,7 @@ def test_odd_rows_are_placed_natively(odd):
 
 def test_groups_of_any_name(spark):
     rows = spark.createDataFrame([("a", 1, 2), ("b", 1, 3), ("b", 5, 1)], "block string, length long, docs long")
-    table = length_table(rows, by=["block"])
+    table = token_counts.length_table(rows, by=["block"])
     assert table.columns == ["block", "context_limit", "docs", "docs_from", "tokens_from", "truncated_tokens", "covered"]
     got = sorted((r[0], r.context_limit, r.docs_from, r.tokens_from) for r in table.collect())
     assert got == [("a", 1, 2, 2), ("b", 1, 4, 8), ("b", 5, 1, 5)]
