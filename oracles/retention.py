@@ -62,4 +62,8 @@ check("version_fall_back", f"""SELECT CAST(l.day AS VARCHAR) AS day, o.n AS "off
  count(*) FILTER (EXISTS (SELECT 1 FROM account a WHERE a.mac = l.mac AND {AV} < '3.1.4' AND CAST(a.openTime AS DATE) <= l.day + o.n)) AS fallen_back,
  count(*) FILTER (EXISTS (SELECT 1 FROM account a WHERE a.mac = l.mac AND {AV} < '3.1.4' AND CAST(a.openTime AS DATE) <= l.day + o.n)) / count(*) AS rate
  FROM (SELECT DISTINCT mac, day FROM seen WHERE version >= '3.1.4') l CROSS JOIN (SELECT unnest([0, 1, 3, 7, 14]) AS n) o GROUP BY 1, 2""")
+check("version_fall_back_fourteen_days", f"""SELECT CAST(l.day AS VARCHAR) AS day, o.n AS "offset", count(*) AS users,
+ count(*) FILTER (EXISTS (SELECT 1 FROM account a WHERE a.mac = l.mac AND {AV} < '3.1.4' AND CAST(a.openTime AS DATE) <= l.day + o.n)) AS fallen_back,
+ count(*) FILTER (EXISTS (SELECT 1 FROM account a WHERE a.mac = l.mac AND {AV} < '3.1.4' AND CAST(a.openTime AS DATE) <= l.day + o.n)) / count(*) AS rate
+ FROM (SELECT DISTINCT mac, day FROM seen WHERE version >= '3.1.4') l CROSS JOIN (SELECT CAST(unnest(range(1, 15)) AS INT) AS n) o GROUP BY 1, 2""")
 check("member_month_retention", retention("(SELECT * FROM member WHERE good_sk = 0 AND is_first_cont_mon_order = 1)", offsets=(1, 2, 3), user="account_sk", activity="(SELECT * FROM member WHERE good_sk = 0)", unit="month"))

@@ -185,12 +185,10 @@ def r25(t):
     return _new(t, ["promotion_channel"], cohort=new_users(t).where(F.col("product_model") == "model3"))
 
 
-@report("version_fall_back", "R26")
-def r26(t):
+def _fall_back(t, offsets):
     """Devices that used 3.1.4 or newer on a day and whose account shows an
     older version in the snapshot ``offset`` days later: counted as fallen
     back, per day and offset. A snapshot holds the accounts opened until then."""
-    offsets = (0, 1, 3, 7, 14)
     log = active(t).where(F.col("version") >= "3.1.4").select("mac", "day").distinct()
     older = t.account.where((S.apk_version("current_version") < "3.1.4") & F.col("mac").isNotNull())
     back = older.groupBy("mac").agg(F.min(F.to_date("openTime")).alias("_since"))
@@ -202,6 +200,16 @@ def r26(t):
     return out.withColumn("rate", F.col("fallen_back") / F.col("users"))
 
 
+@report("version_fall_back", "R26")
+def r26(t):
+    return _fall_back(t, (0, 1, 3, 7, 14))
+
+
+@report("version_fall_back_fourteen_days", "R26")
+def r26_each_day(t):
+    return _fall_back(t, range(1, 15))
+
+
 @report("member_month_retention", "R27", "SRC6")
 def r27(t):
     """First monthly orders of a month with another order months later."""
