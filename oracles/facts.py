@@ -1,7 +1,7 @@
-from viewtally.plans.facts import CATEGORY_NAMES, MERGERS, SITE_TREE
+from viewtally.plans.facts import ENTRANCES, KIDS_PROGRAMS, MERGERS, SITES, TAB_LABELS
 from viewtally.plans.standins import STANDINS
 
-from .base import by_template, by_template_2x
+from .base import RAW3, T, U, by_template, by_template_2x, q
 from .core import EXTRA, check, current, one_per_key, pv_uv
 
 COLUMNS = {
@@ -52,8 +52,17 @@ NAME3 = "CASE WHEN pathSpecial LIKE 'subject-%' THEN split_part(pathSpecial, '-'
 check("merge_play_with_paths", f"""SELECT '3x' AS flag, {E3} AS entryType, nullif(split_part(pathSpecial, '-', 1), '') AS playKind, count(*) AS n, count({CODE3}) AS codes, count({NAME3}) AS names FROM play3 GROUP BY ALL
 UNION ALL SELECT '2x', {E2}, CASE WHEN template = 8 THEN 'subject' END, count(*), count({CODE2}), 0 FROM play2 GROUP BY ALL""")
 
-EXTRA["site_tree"] = SITE_TREE.format(nation="nation")
-EXTRA["category_names"] = CATEGORY_NAMES.format(nation="nation")
+EXTRA["sites"] = SITES.format(nation="nation")
+EXTRA["entrances"] = ENTRANCES.format(nation="nation")
+EXTRA["kids_programs"] = KIDS_PROGRAMS.format(region="region")
+EXTRA["listed"] = """SELECT site_content_type AS main, second_category_code AS code, max(second_category) AS name FROM sites
+  WHERE site_content_type IS NOT NULL AND dim_invalid_time IS NULL
+  AND main_category_code IN ('site_tv', 'site_movie', 'site_xiqu', 'site_comic', 'site_zongyi', 'site_hot', 'site_jilu', 'mv_site') GROUP BY 1, 2"""
+EXTRA["thirds"] = """SELECT site_content_type AS main, third_category_code AS code, max(third_category) AS name FROM sites
+  WHERE site_content_type IS NOT NULL AND dim_invalid_time IS NULL GROUP BY 1, 2"""
+EXTRA["sport_areas"] = "SELECT area_code AS code, max(area_name) AS name FROM entrances WHERE page_code = 'sports' GROUP BY 1"
+EXTRA["kids_areas"] = """SELECT path_code AS code, CASE WHEN name IN ('', 'null') THEN '' ELSE name END AS name FROM (SELECT DISTINCT path_code, program_code FROM kids_programs)
+  JOIN (SELECT area_code, max(area_name) AS name FROM entrances GROUP BY 1) ON program_code = area_code"""
 T3 = "'T' || CAST(CAST(substr(videoSid, 2) AS BIGINT) % 5 AS VARCHAR)"
 
 
@@ -66,16 +75,34 @@ EXTRA["parsed"] = f"""SELECT '3x' AS flag, day, userId, videoSid, duration, {E3}
   {level3(2)} AS l1, {level3(3)} AS l2, {level3(4)} AS l3 FROM play3
 UNION ALL SELECT '2x', day, userId, videoSid, duration, {E2}, {CODE2}, NULL, {by_template_2x(2).replace('o_custkey % 10', 'template')},
   {by_template_2x(3).replace('o_custkey % 10', 'template')}, NULL FROM play2"""
-EXTRA["fact_rows"] = f"""SELECT p.*, coalesce(p.code, s.subject_code) AS subjectCode,
-  CASE WHEN p.l1 IN ('sports', 'kids', 'mv') THEN coalesce(n2.category_name, p.l2) ELSE t.second_category END AS second_category,
-  coalesce(n3.category_name, p.l3) AS third_category, count(*) OVER (PARTITION BY p.day, p.userId, p.videoSid) AS c
-FROM parsed p LEFT JOIN {one_per_key('subject', 'subject_name', 'subject_code')} s ON p.code IS NULL AND p.name = s.subject_name
-LEFT JOIN site_tree t ON p.l1 = t.main_category AND p.l2 = t.second_category
-LEFT JOIN category_names n2 ON p.l1 = n2.main_category AND p.l2 = n2.category_code
-LEFT JOIN category_names n3 ON p.l1 = n3.main_category AND p.l3 = n3.category_code"""
+# channel by channel, as separate queries that are put together again
+EXTRA["named"] = """SELECT p.*, CASE WHEN coalesce(l2, '') = '' THEN '' ELSE (SELECT max(name) FROM listed WHERE main = l1 AND CASE WHEN flag = '3x' AND l1 <> 'mv' THEN name = l2 ELSE code = l2 END) END AS second_category,
+  l3 AS third_category FROM parsed p WHERE l1 IS NULL OR l1 NOT IN ('sports', 'kids')
+UNION ALL SELECT p.*, a.name, t.name FROM parsed p LEFT JOIN sport_areas a ON l2 = a.code LEFT JOIN thirds t ON t.main = l1 AND l2 <> 'horizontal' AND l3 = t.code WHERE l1 = 'sports'
+UNION ALL SELECT p.*, k.name, l3 FROM parsed p LEFT JOIN kids_areas k ON l2 = k.code WHERE l1 = 'kids'"""
+EXTRA["fact_rows"] = f"""SELECT p.*, coalesce(nullif(p.code, ''), s.subject_code) AS subjectCode, count(*) OVER (PARTITION BY p.day, p.userId, p.videoSid) AS c
+FROM named p LEFT JOIN {one_per_key('subject', 'subject_name', 'subject_code')} s ON coalesce(p.code, '') = '' AND trim(p.name) = trim(s.subject_name)"""
 check("play_fact", """SELECT flag, entryType, l1 AS main_category, second_category, third_category, count(*) AS n, count(userId) AS users, CAST(sum(duration) AS BIGINT) AS duration
 FROM fact_rows WHERE userId IS NULL OR c < 2 GROUP BY ALL""")
 check("play_fact_subjects", "SELECT flag, subjectCode, count(*) AS n FROM fact_rows WHERE userId IS NULL OR c < 2 GROUP BY ALL")
+EXTRA["tab_labels"] = TAB_LABELS.format(nation="nation")
+check("page_labels_2x", """SELECT CASE contentType WHEN 'movie' THEN '电影' WHEN 'tv' THEN '电视' WHEN 'hot' THEN '资讯短片' WHEN 'kids' THEN '少儿' WHEN 'zongyi' THEN '综艺' WHEN 'comic' THEN '动漫'
+   WHEN 'jilu' THEN '纪实' WHEN 'sports' THEN '体育' WHEN 'xiqu' THEN '戏曲' WHEN 'mv' THEN '音乐' WHEN 'game' THEN '游戏' ELSE '未知' END AS channel,
+  CASE template WHEN 0 THEN 'movie' WHEN 1 THEN 'search' WHEN 2 THEN 'kids_home' WHEN 4 THEN 'history' WHEN 5 THEN 'tv' WHEN 7 THEN 'movie' WHEN 8 THEN 'hot' END AS pageType,
+  CASE template WHEN 0 THEN '院线大片' WHEN 2 THEN 'kids_seecartoon' WHEN 3 THEN '1' WHEN 4 THEN '收藏追剧' WHEN 5 THEN '华语热播' WHEN 7 THEN '筛选' WHEN 8 THEN '资讯专题' WHEN 9 THEN '3' END AS pageDetailInfo,
+  count(userId) AS pv, count(DISTINCT userId) AS uv FROM play2 GROUP BY ALL""")
+# (template, way, area, location, page, tab), written down by hand
+WAYS = [
+    (0, "home", "classification", "jilu", "jilu", T), (1, "home", "my_tv", "history", None, None), (2, "home", "my_tv", "collect", "accountcenter_home", "X1"),
+    (3, "home", "recommendation", "1", "hot", U), (4, "home", "my_tv", "tv", "tv", None), (5, "home", "my_tv", "tv", None, None),
+    (6, "home", "classification", "kids", "kids_home", None), (7, "home", "classification", "mv", "mv", "mvCategoryHomePage"),
+    (8, "mv", "function", "site_hotsinger", "mv_poster", None), (9, "home", "classification", "3", "sports", "League"),
+    (10, "home", "classification", "movie", "movie", None), (11, "home", "hotSubject", "x", None, None), (12, "home", "taste", "y", None, None),
+    (13, None, None, None, None, None), (14, "thirdparty", None, None, None, None), (15, "home", "live", "eagle", "mv", "function"),
+]
+way = ", ".join("CASE template " + " ".join(f"WHEN {m[0]} THEN {q(m[i])}" for m in WAYS) + f" END AS {n}" for i, n in enumerate("way area location page tab".split(), 1))
+check("enter_ways", f"SELECT {way}, count(userId) AS pv, count(DISTINCT userId) AS uv FROM (SELECT *, CASE WHEN l_partkey % 97 <> 0 THEN l_partkey END AS userId FROM {RAW3}) GROUP BY 1, 2, 3, 4, 5")
+check("plays_per_program", pv_uv("(SELECT userId, coalesce(p.title, videoSid) AS title, coalesce(p.content_type_name, 'none') AS channel FROM play3 LEFT JOIN (SELECT * FROM program WHERE dim_invalid_time IS NULL) p ON videoSid = sid)", ["title", "channel"]))
 check("calm_plays", """SELECT flag, CAST(day AS VARCHAR) AS day, count(*) AS pv, count(DISTINCT userId) + max(CASE WHEN userId IS NULL THEN 1 ELSE 0 END) AS uv
 FROM (SELECT *, count(*) OVER (PARTITION BY day, userId, videoSid) AS c FROM play) WHERE userId IS NULL OR c < 2 GROUP BY 1, 2""")
 check("account_snapshot", "SELECT '2024-01-15' AS day, promotion_channel, count(*) AS accounts, CAST(max(openTime) AS VARCHAR) AS last_open FROM account WHERE openTime < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 2")

@@ -508,6 +508,11 @@ def launcher_position_label(index) -> Column:
     return _position_label(column(index).try_cast("int"))
 
 
+def channel_label(content_type) -> Column:
+    """Label of a channel; anything else, null too, is unknown."""
+    return label_of(content_type, V.CHANNEL_LABELS, V.CHANNEL_UNKNOWN)
+
+
 def launcher_location_label_3x(location) -> Column:
     """Label of a location; only the channels are also spelled with ``site_``."""
     location = column(location)

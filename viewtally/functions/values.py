@@ -155,3 +155,18 @@ PROVINCES = [
     "贵州", "辽宁", "重庆", "青海", "香港", "黑龙江", "陕西", "西藏",
 ]
 PROVINCE_FIXES = {"黑龙": "黑龙江", "内蒙": "内蒙古"}
+
+# The channels with rules of their own, the list without third categories, and the site-tree roots
+# whose second categories are checked.
+SPORTS = "sports"
+KIDS = "kids"
+MUSIC = "mv"
+HORIZONTAL = "horizontal"
+LISTED_SITES = ["site_tv", "site_movie", "site_xiqu", "site_comic", "site_zongyi", "site_hot", "site_jilu", "mv_site"]
+
+# Channel labels.
+CHANNEL_LABELS = {
+    "movie": "电影", "tv": "电视", "hot": "资讯短片", "kids": "少儿", "zongyi": "综艺", "comic": "动漫", "jilu": "纪实",
+    "sports": "体育", "xiqu": "戏曲", "mv": "音乐", "game": "游戏",
+}
+CHANNEL_UNKNOWN = "未知"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.network import ip_number, network_key, padded_ip
 from ..functions.scalars import brand_by_prefix
-from ._keys import left_join_known
+from ._keys import left_join_known, left_join_spread
 
 
 def unique_dim(
@@ -41,6 +41,7 @@ def dim_enrich(
     guard: Column | None = None,
     null_safe: Sequence[str] = (),
     how: str = "left",
+    spread: bool = False,
 ) -> DataFrame:
     """Add dimension columns to a fact.
 
@@ -50,6 +51,8 @@ def dim_enrich(
     join stays an equi join. ``null_safe`` lists keys where null matches null.
     ``cols`` maps the new column to the dimension column; a miss gets
     ``default``. The dimension is cut to its current rows and one row per key.
+    ``spread`` deals the rows of frequent keys over many tasks, for a dimension
+    too large to be broadcast; it counts the fact's keys first.
     """
     if not isinstance(on, Mapping):
         on = {c: c for c in on}
@@ -75,8 +78,8 @@ def dim_enrich(
     temp = {f"_v{i}": src for i, src in enumerate(cols.values())}
     one = unique_dim(dim, dim_keys, temp, pick, valid_col)
     keyed = fact.select("*", *[e.alias(k) for k, e in fact_keys.items()])
-    joined = left_join_known(keyed, one, list(fact_keys), how)
-    out = [F.col(c) for c in fact.columns if c not in cols]
+    joined = (left_join_spread if spread else left_join_known)(keyed, one, list(fact_keys), how)
+    out = [F.col(f"`{c}`") for c in fact.columns if c not in cols]
     for i, name in enumerate(cols):
         value = F.col(f"_v{i}")
         fallback = default.get(name) if isinstance(default, Mapping) else default

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..sources.merge import merge_sources, project_whitelist
 from ..sources.schemas import PLAY
+from .dictionaries import name_categories
 from .enrich import dim_enrich
 from .quality import FLOOD_LIMIT, flood_filter
 
@@ -43,18 +44,16 @@ def play_fact(
     play3x: DataFrame | None,
     play2x: DataFrame | None,
     subjects: DataFrame | None = None,
-    site_tree: DataFrame | None = None,
-    category_names: DataFrame | None = None,
+    categories: DataFrame | None = None,
     limit: int = FLOOD_LIMIT,
-    unchecked: Sequence[str] = ("sports", "kids", "mv"),
 ) -> DataFrame:
     """Both play logs as one fact, as one lazy plan.
 
     Paths become dimensions; a subject named without its code gets the code
-    from ``subjects`` (subject_name, subject_code); a second category must be
-    in ``site_tree`` (main_category, second_category) unless its channel is
-    ``unchecked``; codes get their names from ``category_names``
-    (main_category, category_code, category_name); floods are dropped.
+    from ``subjects`` (subject_name, subject_code), spaces around the names
+    aside; categories are checked and named by ``categories``, the dictionary
+    of ``category_dictionary``, second and third level in one join each;
+    floods are dropped.
     """
     parts: list[tuple[DataFrame, str]] = []
     for product, log in (("3x", play3x), ("2x", play2x)):
@@ -62,27 +61,14 @@ def play_fact(
             parts.append((with_path_dims(project_whitelist(log, PLAY), product), product))
     fact = merge_sources(parts)
     if subjects is not None:
+        unnamed = F.coalesce(F.col("subjectCode") == "", F.lit(True))
         fact = dim_enrich(
             fact, subjects, {"_name": (F.col("subjectName"), F.col("subject_name"))}, {"_code": "subject_code"},
-            guard=F.col("subjectCode").isNull(),
+            guard=unnamed, trim=True,
         )
-        fact = fact.withColumn("subjectCode", F.coalesce("subjectCode", "_code")).drop("_code")
-    if site_tree is not None:
-        fact = dim_enrich(
-            fact, site_tree, ["main_category", "second_category"], {"_known": "second_category"},
-            guard=~F.col("main_category").isin(list(unchecked)),
-        )
-        free = F.col("main_category").isin(list(unchecked))
-        fact = fact.withColumn(
-            "second_category", F.when(free, F.col("second_category")).otherwise(F.col("_known"))
-        ).drop("_known")
-    if category_names is not None:
-        for level in CATEGORIES[1:]:
-            fact = dim_enrich(
-                fact, category_names, {"main_category": "main_category", level: "category_code"},
-                {f"_{level}": "category_name"},
-            )
-            fact = fact.withColumn(level, F.coalesce(f"_{level}", level)).drop(f"_{level}")
+        fact = fact.withColumn("subjectCode", F.when(unnamed, F.col("_code")).otherwise(F.col("subjectCode"))).drop("_code")
+    if categories is not None:
+        fact = name_categories(fact, categories)
     return flood_filter(fact, ["day", "userId", "videoSid"], limit)
 
 

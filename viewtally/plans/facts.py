@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..operators.counts import pv_uv
 from ..operators.enrich import dim_enrich, network_enrich
+from ..operators.dictionaries import category_dictionary, label_details
 from ..operators.facts import play_fact
 from ..operators.qos import qos_explode
 from ..operators.quality import flood_filter
@@ -133,23 +134,38 @@ def merge_play(t):
     )
 
 
-SITE_TREE = """
-SELECT CASE n_nationkey WHEN 0 THEN 'jilu' WHEN 1 THEN 'jilu' WHEN 2 THEN 'tv' WHEN 3 THEN 'accountcenter_home' WHEN 4 THEN 'movie'
-    WHEN 5 THEN 'history' WHEN 6 THEN 'hot' ELSE 'none' END AS main_category,
-  CASE n_nationkey WHEN 0 THEN 'T0' WHEN 1 THEN 'T3' WHEN 2 THEN 'history' WHEN 3 THEN 'X1' WHEN 4 THEN 'movie_hot'
-    WHEN 5 THEN 'collect' WHEN 6 THEN 'T2' ELSE n_name END AS second_category
+# site tree, page areas and program codes that meet the templates of the paths: names, codes, misses, old rows
+SITES = """
+SELECT CASE n_nationkey WHEN 0 THEN 'jilu' WHEN 1 THEN 'jilu' WHEN 2 THEN 'tv' WHEN 4 THEN 'movie' WHEN 5 THEN 'history' WHEN 6 THEN 'hot'
+    WHEN 7 THEN 'mv' WHEN 8 THEN 'mv' WHEN 9 THEN 'sports' WHEN 10 THEN 'sports' WHEN 11 THEN 'tv' WHEN 12 THEN 'movie' WHEN 13 THEN 'hot'
+    WHEN 14 THEN 'tv' WHEN 15 THEN NULL ELSE 'none' END AS site_content_type,
+  CASE n_nationkey WHEN 7 THEN 'mv_site' WHEN 8 THEN 'mv_site' WHEN 5 THEN 'site_other' WHEN 0 THEN 'site_jilu' WHEN 1 THEN 'site_jilu'
+    WHEN 6 THEN 'site_hot' WHEN 13 THEN 'site_hot' WHEN 9 THEN 'site_sport' WHEN 10 THEN 'site_sport' WHEN 4 THEN 'site_movie'
+    WHEN 12 THEN 'site_movie' ELSE 'site_tv' END AS main_category_code,
+  CASE n_nationkey WHEN 4 THEN 'movie_hot' WHEN 5 THEN 'collect' WHEN 7 THEN 'site_mvstyle' WHEN 8 THEN 'site_concert' WHEN 11 THEN 'tv_genbo'
+    WHEN 12 THEN 'movie_hot' WHEN 13 THEN 'hot_zhuanti' ELSE 'c' || CAST(n_nationkey AS STRING) END AS second_category_code,
+  CASE n_nationkey WHEN 0 THEN 'T0' WHEN 1 THEN 'T3' WHEN 2 THEN 'history' WHEN 4 THEN 'big screen' WHEN 6 THEN 'T2' WHEN 12 THEN 'a smaller name'
+    ELSE 'name' || CAST(n_nationkey AS STRING) END AS second_category,
+  CASE n_nationkey WHEN 9 THEN 'ouguan' WHEN 10 THEN 'yingchao' ELSE 'third' END AS third_category_code,
+  CASE n_nationkey WHEN 9 THEN 'champions' WHEN 10 THEN 'premier' ELSE 'x' END AS third_category,
+  CASE WHEN n_nationkey = 13 THEN DATE '2023-01-01' ELSE NULL END AS dim_invalid_time
 FROM {nation}"""
-CATEGORY_NAMES = """
-SELECT CASE n_regionkey WHEN 0 THEN 'sports' WHEN 1 THEN 'kids' ELSE 'other' END AS main_category,
-  CASE n_nationkey WHEN 0 THEN 'League' WHEN 1 THEN 'kids_anim' WHEN 6 THEN 'A1' WHEN 5 THEN 'ouguan' ELSE n_name END AS category_code,
-  'name' || CAST(n_nationkey AS STRING) AS category_name
+ENTRANCES = """
+SELECT CASE n_nationkey WHEN 0 THEN 'sports' WHEN 1 THEN 'sports' WHEN 2 THEN 'kids' ELSE 'page' || CAST(n_regionkey AS STRING) END AS page_code,
+  CASE n_nationkey WHEN 0 THEN 'League' WHEN 1 THEN 'other' WHEN 2 THEN 'program1' WHEN 3 THEN 'program2' WHEN 4 THEN 'League'
+    ELSE 'area' || CAST(n_nationkey AS STRING) END AS area_code,
+  CASE n_nationkey WHEN 0 THEN 'leagues' WHEN 2 THEN 'cartoons' WHEN 3 THEN 'null' ELSE 'zone' || CAST(n_nationkey AS STRING) END AS area_name
 FROM {nation}"""
+KIDS_PROGRAMS = """
+SELECT CASE r_regionkey WHEN 0 THEN 'kids_anim' WHEN 1 THEN 'kids_song' ELSE 'p' || CAST(r_regionkey AS STRING) END AS path_code,
+  CASE r_regionkey WHEN 0 THEN 'program1' WHEN 1 THEN 'program2' ELSE 'none' END AS program_code
+FROM {region}"""
 
 
 def _fact(t, limit):
-    tree = t.spark.sql(SITE_TREE, nation=t.nation)
-    names = t.spark.sql(CATEGORY_NAMES, nation=t.nation)
-    return play_fact(t.play3, t.play2, t.subject, tree, names, limit=limit)
+    sites, entrances = t.spark.sql(SITES, nation=t.nation), t.spark.sql(ENTRANCES, nation=t.nation)
+    categories = category_dictionary(sites, entrances, t.spark.sql(KIDS_PROGRAMS, region=t.region))
+    return play_fact(t.play3, t.play2, t.subject, categories, limit=limit)
 
 
 @report("play_fact", "M20", "M21", "S1")
@@ -165,6 +181,38 @@ def fact_subjects(t):
     return _fact(t, 2).groupBy("flag", "subjectCode").agg(F.count(F.lit(1)).alias("n"))
 
 
+TAB_LABELS = """
+SELECT CASE n_nationkey WHEN 0 THEN 'movie' WHEN 1 THEN 'history' WHEN 2 THEN 'tv' WHEN 3 THEN 'movie' WHEN 4 THEN 'hot' WHEN 5 THEN 'subject'
+    WHEN 6 THEN 'movie' ELSE 'page' || CAST(n_nationkey AS STRING) END AS page,
+  CASE n_nationkey WHEN 0 THEN 'movie_hot' WHEN 1 THEN 'collect' WHEN 2 THEN 'tv_genbo' WHEN 3 THEN 'multi_search' WHEN 4 THEN 'hot_zhuanti'
+    WHEN 5 THEN 'hot_zhuanti' WHEN 6 THEN 'collect' ELSE 'code' END AS code,
+  CASE n_nationkey WHEN 0 THEN '院线大片' WHEN 1 THEN '收藏追剧' WHEN 2 THEN '华语热播' WHEN 3 THEN '筛选' WHEN 4 THEN '资讯专题' WHEN 5 THEN '资讯专题'
+    WHEN 6 THEN '已收藏' ELSE 'label' END AS label
+FROM {nation}"""
+
+
+@report("page_labels_2x", "U3", "U41", "M2")
+def page_labels(t):
+    pages = t.play2.select("userId", "contentType", P.page_columns_2x("path").alias("p"))
+    pages = pages.select("userId", P.channel_label("contentType").alias("channel"), "p.pageType", "p.pageDetailInfo")
+    return pv_uv(label_details(pages, t.spark.sql(TAB_LABELS, nation=t.nation)), ["channel", "pageType", "pageDetailInfo"])
+
+
+@report("enter_ways", "U16")
+def enter_ways(t):
+    reached = t.play3.select("userId", P.enter_way("pathMain").alias("e")).select("userId", "e.*")
+    return pv_uv(reached, ["way", "area", "location", "page", "tab"])
+
+
+@report("plays_per_program", "J2", "J3", "J4")
+def plays_per_program(t):
+    titled = dim_enrich(
+        t.play3, t.program, {"videoSid": "sid"}, {"title": "title", "channel": "content_type_name"},
+        default={"title": F.col("videoSid"), "channel": "none"}, spread=True,
+    )
+    return pv_uv(titled, ["title", "channel"])
+
+
 @report("calm_plays", "M19")
 def calm_plays(t):
     return pv_uv(flood_filter(t.play, ["day", "userId", "videoSid"], limit=2), ["flag", "day"], null_user="count")
