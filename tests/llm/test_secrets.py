@@ -60,3 +60,12 @@ def test_odd_rows(odd):
     assert len(rows) == len(ODD) and all(list(r.secret_spans) == [] for r in rows)
     assert secrets.redact_secrets(odd).exceptAll(odd).count() == 0
     assert secrets.secret_digests(odd.where("doc_id < 0")).count() == 0
+
+
+def test_very_many_matches_in_one_text(make_docs):
+    """More matches than one part holds; the positions run on over the parts."""
+    for n in (secrets.PART - 1, secrets.PART, secrets.PART + 1, 3 * secrets.PART + 7):
+        text = "é".join(f"token=abcdefg{i:06d} pass " + ("secret=short " if i % 3 else "") for i in range(n))
+        (row,) = secrets.find_secrets(make_docs([(1, text)])).collect()
+        assert [(s.start, s.kind, s.end) for s in row.secret_spans] == brute.secrets(text)
+        assert len(row.secret_spans) == n

@@ -35,6 +35,8 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "weak_secret", "endpoint")
 REACH = 200
 SPAN = "array<struct<start:int,end:int>>"
+#: Matches whose positions are counted in one go.
+PART = 512
 
 
 def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
@@ -56,7 +58,19 @@ def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column] | N
             F.when(x["good"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
         )
 
-    spans = F.aggregate(F.filter(steps, lambda x: x["size"].isNotNull()), start, step, lambda acc: acc["spans"])
+    def moved(acc: Column, part: Column) -> Column:
+        spans = F.transform(part["spans"], lambda x: F.struct((x["start"] + acc["at"]).alias("start"), (x["end"] + acc["at"]).alias("end")))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["parts"], F.array(spans)).alias("parts"))
+
+    # An array grows by copying, so positions are counted from the start of a part of the matches first, and the
+    # parts are put in their places after. The array of one holds the matches, so that they are found once.
+    def parts(found: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / PART).cast("int"))
+        return F.transform(numbers, lambda i: F.aggregate(F.slice(found, i * PART + 1, F.lit(PART)), start, step))
+
+    matched = F.array(F.filter(steps, lambda x: x["size"].isNotNull()))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("parts"))
+    spans = F.aggregate(F.flatten(F.transform(matched, parts)), first, moved, lambda acc: F.flatten(acc["parts"]))
     return F.when(F.coalesce(text.rlike(pattern), F.lit(False)), spans).otherwise(F.array().cast(SPAN))
 
 
