@@ -207,8 +207,9 @@ def text_classes(rows_of: DataFrame, docs: DataFrame, *, text: str, size: int, s
     several = shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = saved(shared.join(several, "bucket", "left_semi"))
     compared = texts.join(members.select("node").distinct(), "node", "left_semi").select("digest", "node")
-    sets = weighted_shingles(docs, text=text, size=size).join(compared, "digest")
-    sets = saved(sets.groupBy("node").agg(F.min("s").alias("s"), F.min("w").alias("w")))
+    # copies become one row before the shuffle, and the join finds the sets where the digests have put them
+    sets = weighted_shingles(docs, text=text, size=size).where("digest IS NOT NULL").groupBy("digest")
+    sets = saved(sets.agg(F.min("s").alias("s"), F.min("w").alias("w")).join(compared, "digest").select("node", "s", "w"))
     groups = grouped(members, sets, texts.select("node", "sketch"), similarity, rows, bands)
     rooted = texts.join(groups, "node", "left").select("digest", "text_id", F.coalesce("root", "node").alias("root"))
     return saved(rooted.join(rooted.groupBy("root").agg(F.min("text_id").alias("class_id")), "root"))
