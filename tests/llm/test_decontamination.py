@@ -39,6 +39,28 @@ def test_equals_plain_scan(make_docs, benchmark, block_bytes):
         assert len(inside) == rows[i].n_hit
 
 
+def test_windows_that_items_share_or_repeat(spark, make_docs):
+    """Items with equal windows, in equal and other blocks, one window often in one item, and many short items."""
+    many = "one two three four five six seven eight nine ten " * 40
+    items = [(1, many), (2, many), (3, "ten one two three four five six seven eight nine"), *[(i, f"item{i % 7} x") for i in range(10, 60)]]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["a " + many, "item3 X, item3", "nine ten one two three four five six seven eight nine", "é item3 y"]
+    docs = make_docs(list(enumerate(texts)))
+    for block_bytes in (1 << 20, 2500):
+        rows = {r.doc_id: r for r in dc.find_contamination(docs, benchmark, block_bytes=block_bytes).collect()}
+        for i, text in enumerate(texts):
+            assert (rows[i].n_words, rows[i].n_hit, list(rows[i].item_ids)) == brute.contamination(text, items), text
+
+
+def test_windows_take_little_memory():
+    import pickle
+
+    text = " ".join(f"w{i * 7919 % 100_003}" for i in range(100_000))
+    windows = dc.Windows([("1", text)], 10)
+    assert len(windows.tables[10][0]) == 99_991
+    assert len(pickle.dumps(windows)) < len(text) + 24 * 100_000 + (2 << 20)
+
+
 def test_removal_of_documents_and_spans(make_docs, benchmark):
     docs = make_docs(list(enumerate(TEXTS))).withColumn("n_hit", F.lit("mine"))
     clean = dc.remove_contaminated(docs, benchmark)

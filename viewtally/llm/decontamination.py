@@ -6,16 +6,17 @@ with fewer words, but not none, is one window. Documents are scanned once
 against a broadcast set of window hashes; a hit counts after its words have been
 compared. A word inside any occurrence of a window is hit.
 
-The broadcast holds at most ``block_bytes`` of benchmark text. A larger
-benchmark is cut into blocks of that size, which are scanned one after another;
-the hits of all blocks add up, so nothing depends on the number of blocks.
+The broadcast holds about ``block_bytes`` of benchmark text and its windows, 20
+bytes each. A larger benchmark is cut into blocks of that size by a hash of the
+items. Each is gathered, scanned and its hits kept in the shared folder before
+the next one, so the driver and a worker hold one block at a time; the hits of
+all blocks add up, so nothing depends on their number.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from viewtally.llm.components import saved
 from viewtally.llm.textarrays import LOWER, map_text, mix, quoted, span_hashes, text_chunks, words
 
 WIDTH = 10
@@ -51,66 +53,70 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 class Windows:
-    """The windows of some benchmark items: for each size its sorted hashes, a sieve before them, and the words."""
+    """The windows of some benchmark items: for each size the sorted hashes with the place of their words and their item.
+
+    The words of all items lie in one byte string, once, so a window takes 20
+    bytes beside its text. ``sieves`` answer most documents' windows at once.
+    """
 
     def __init__(self, items: Sequence[tuple[str, str]], width: int):
         self.items = sorted({x[0] for x in items})
         number = {x: i for i, x in enumerate(self.items)}
-        self.owners: dict[tuple[int, int], dict[bytes, set[int]]] = defaultdict(lambda: defaultdict(set))
-        names = [number[x[0]] for x in items]
+        names = np.array([number[x[0]] for x in items], np.int32)
+        pieces, filled = [], 0
+        found: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
         for low, _, raw, offsets in text_chunks(pa.array([x[1] for x in items], pa.string())):
             raw = LOWER[raw]
             starts, ends, rows = words(raw, offsets)
             hashes, data = span_hashes(raw, starts, ends), raw.tobytes()
-            first = np.searchsorted(rows, np.arange(len(offsets)))
-            for row, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-                size = min(width, b - a)
-                if size:
-                    for i, h in enumerate(window_hashes(hashes[a:b], size).tolist(), a):
-                        text = b" ".join(data[starts[j] : ends[j]] for j in range(i, i + size))
-                        self.owners[size, h][text].add(names[low + row])
-        self.owners = {k: dict(v) for k, v in self.owners.items()}
-        self.hashes = {size: np.sort(np.array([h for s, h in self.owners if s == size], np.uint64)) for size in sorted({s for s, _ in self.owners})}
+            pieces.append(b" ".join(data[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)))
+            last = filled + np.cumsum(ends - starts + 1) - 1
+            first = last - (ends - starts)
+            filled += len(pieces[-1]) + 1
+            counts = np.bincount(rows, minlength=len(offsets) - 1)
+            for size in np.unique(np.minimum(counts[counts > 0], width)).tolist():
+                wanted = window_hashes(hashes, size)
+                at = np.flatnonzero(rows[: len(wanted)] == rows[size - 1 :][: len(wanted)])
+                at = at[np.minimum(counts[rows[at]], width) == size]
+                found[size].append((wanted[at], first[at], last[at + size - 1], names[low + rows[at]]))
+        self.text = b" ".join(pieces)
+        self.tables = {size: self._table([np.concatenate(x) for x in zip(*parts, strict=True)]) for size, parts in sorted(found.items())}
         self.sieves = {}
-        for size, hashes in self.hashes.items():
+        for size, (hashes, *_) in self.tables.items():
             self.sieves[size] = np.zeros(1 << _SIEVE_BITS, bool)
             self.sieves[size][hashes & np.uint64((1 << _SIEVE_BITS) - 1)] = True
 
+    def _table(self, columns: list[np.ndarray]) -> list[np.ndarray]:
+        """Hashes in order, begin, end and item of their words; a window that an item repeats is there once."""
+        hashes, starts, ends, owners = columns
+        order = np.lexsort((owners, hashes))
+        hashes, starts, ends, owners = hashes[order], starts[order], ends[order], owners[order]
+        kept = np.ones(len(hashes), bool)
+        for i in (np.flatnonzero((hashes[1:] == hashes[:-1]) & (owners[1:] == owners[:-1])) + 1).tolist():
+            kept[i] = self.text[starts[i] : ends[i]] != self.text[starts[i - 1] : ends[i - 1]]
+        return [hashes[kept], starts[kept].astype(np.uint32), ends[kept].astype(np.uint32), owners[kept]]
+
     def scan(self, raw: np.ndarray, offsets: np.ndarray, hit: np.ndarray | None, found: list[set[str]]):
         """Mark the words of occurrences in ``hit`` and add the items to ``found``; returns the words and ``hit``."""
         raw = LOWER[raw]
         starts, ends, rows = words(raw, offsets)
         hashes, data = span_hashes(raw, starts, ends), None
         hit = np.zeros(len(starts), bool) if hit is None else hit
-        for size, known in self.hashes.items():
+        for size, (known, begins, stops, owners) in self.tables.items():
             wanted = window_hashes(hashes, size)
             at = np.flatnonzero(self.sieves[size][wanted & np.uint64((1 << _SIEVE_BITS) - 1)])
-            place = np.minimum(np.searchsorted(known, wanted[at]), len(known) - 1)
-            at = at[(known[place] == wanted[at]) & (rows[at] == rows[at + size - 1])]
-            for i in at.tolist():
+            low, high = np.searchsorted(known, wanted[at]), np.searchsorted(known, wanted[at], "right")
+            near = (low < high) & (rows[at] == rows[at + size - 1])
+            for i, a, b in zip(at[near].tolist(), low[near].tolist(), high[near].tolist(), strict=True):
                 data = data or raw.tobytes()
                 text = b" ".join(data[starts[j] : ends[j]] for j in range(i, i + size))
-                owners = self.owners[size, int(wanted[i])].get(text)
-                if owners:
+                same = [k for k in range(a, b) if self.text[begins[k] : stops[k]] == text]
+                if same:
                     hit[i : i + size] = True
-                    found[rows[i]].update(self.items[k] for k in owners)
+                    found[rows[i]].update(self.items[owners[k]] for k in same)
         return starts, ends, rows, hit
 
 
-def benchmark_blocks(benchmark: DataFrame, item_id: str, item_text: str, width: int, block_bytes: int) -> list[Windows]:
-    """The windows of the benchmark in blocks of about ``block_bytes`` of text."""
-    items = benchmark.select(
-        F.col(quoted(item_id)).cast("string").alias("i"), F.col(quoted(item_text)).cast("string").alias("t")
-    ).where("i IS NOT NULL AND t IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    blocks = []
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()
-        blocks.append(Windows([(r["i"], r["t"]) for r in rows], width))
-    return blocks
-
-
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -130,37 +136,46 @@ def find_contamination(
     of one id add up. Repeated rows get equal results.
     """
     keep = list(docs.columns if keep is None else keep)
-    blocks = benchmark_blocks(benchmark, item_id, item_text, width, block_bytes)
-    source = docs.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(keep)], F.col(quoted(text)).cast("string").alias("t"))
+    items = benchmark.select(
+        F.col(quoted(item_id)).cast("string").alias("i"), F.col(quoted(item_text)).cast("string").alias("t")
+    ).where("i IS NOT NULL AND t IS NOT NULL")
+    blocks = max(1, -(-(items.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // block_bytes))
     carried = [f"c{i}" for i in range(len(keep))]
-
-    def scanned(df: DataFrame, block: int) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast(blocks[block])
-        last = block == len(blocks) - 1
+    out = docs.select(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(keep)], F.col(quoted(text)).cast("string").alias("t"))
+    for block in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()
+        shared = docs.sparkSession.sparkContext.broadcast(Windows([(r["i"], r["t"]) for r in rows], width))
+        last = block == blocks - 1
         inputs = {"before": F.struct("n_words", "n_hit", "item_ids", "hit_spans")} if block else {}
+        out = map_text(out, "t", RESULTS, _scanner(shared), keep=carried + ([] if last else ["t"]), inputs=inputs)
+        if not last:
+            out = saved(out)
+            shared.destroy()
+    names = {f.name.lower() for f in RESULTS}
+    return out.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep) if c.lower() not in names], *[f.name for f in RESULTS]
+    )
 
-        def worker():
-            windows = shared.value
 
-            def scan(raw, offsets, before=None):
-                found = [set() for _ in offsets[1:]]
-                hit = None
-                if before is not None:
-                    hit = _marked(raw, offsets, before)
-                    for row, x in zip(found, before.to_pylist(), strict=True):
-                        row.update(x["item_ids"])
-                starts, ends, rows, hit = windows.scan(raw, offsets, hit, found)
-                return _results(raw, offsets, starts, ends, rows, hit, found)
+def _scanner(shared):
+    """The scan of one broadcast block, on top of the results of the blocks before."""
 
-            return scan
+    def worker():
+        windows = shared.value
 
-        return map_text(df, "t", RESULTS, worker, keep=carried + ([] if last else ["t"]), inputs=inputs)
+        def scan(raw, offsets, before=None):
+            found = [set() for _ in offsets[1:]]
+            hit = None
+            if before is not None:
+                hit = _marked(raw, offsets, before)
+                for row, x in zip(found, before.to_pylist(), strict=True):
+                    row.update(x["item_ids"])
+            starts, ends, rows, hit = windows.scan(raw, offsets, hit, found)
+            return _results(raw, offsets, starts, ends, rows, hit, found)
 
-    out = reduce(scanned, range(len(blocks)), source)
-    names = {f.name.lower() for f in RESULTS}
-    return out.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep) if c.lower() not in names], *[f.name for f in RESULTS]
-    )
+        return scan
+
+    return worker
 
 
 def _results(raw, offsets, starts, ends, rows, hit, found):
