@@ -48,6 +48,27 @@ def test_nothing_learned(make_docs, odd):
     assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
 
 
+def test_blocks_of_languages_give_the_same(spark, make_docs, odd):
+    """More languages than one model holds, a tie between two of them, and odd texts."""
+    spoken = [(f"l{i:02d}", f"{chr(97 + i) * 3} the {chr(98 + i)}at") for i in range(20)] + [("l99", "aaa the bat")]
+    docs = make_docs([(i, t, lang) for i, (lang, t) in enumerate(spoken)])
+    asked = odd.unionAll(docs).select("doc_id", "text")
+    results = []
+    for block in (40, 7, 1):
+        learned = language.fit_language_model(docs, block=block)
+        rows = language.identify_language(asked, learned).collect()
+        results.append(sorted((str(r.doc_id), str(r.text), r.lang_pred, round(r.score, 6), r.bits_per_byte and round(r.bits_per_byte, 3)) for r in rows))
+        assert language.learned_letters(learned) == language.learned_letters(language.fit_language_model(docs))
+    assert results[0] == results[1] == results[2]
+    assert {r[2] for r in results[0] if r[1] == "aaa the bat"} == {"l00"}
+
+
+def test_groups_are_bounded_for_each_language(make_docs):
+    docs = make_docs([(1, "abcdefgh" * 50, "long"), (2, "xyz", "short")])
+    learned = language.fit_language_model(docs, max_grams=4)
+    assert {r.l: r["count"] for r in learned.counts.groupBy("l").count().collect()} == {"long": 4, "short": 3}
+
+
 def test_held_out_accuracy(spark, sf_dir, documents):
     rows = QUERIES["op10_language"](spark, sf_dir).join(documents.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     right = sum(r.lang == r.lang_pred for r in rows)

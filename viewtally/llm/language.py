@@ -10,24 +10,33 @@ of a byte depends only on the bytes right before it. That makes the cost of a
 text an exact sum over its distinct byte groups. A context before the beginning
 of a text is padded with zero bytes.
 
-Training counts groups of ``max_order + 1`` bytes in Spark; the model is built
-from the counts, and its size is bounded by ``max_grams``.
+Training counts groups of ``max_order + 1`` bytes in Spark; the models are built
+from the counts. A model holds ``block`` languages and at most ``max_grams``
+groups of each. More languages are scored in several passes, one model at a
+time, and the results are those of one pass over all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from viewtally.llm.components import saved
 from viewtally.llm.textarrays import map_text, quoted, row_sums, text_chunks
 
 UNDETERMINED = "und"
+#: Languages of one model, and byte groups of one language: two million groups in a model at most.
+BLOCK = 8
+MAX_GRAMS = 250_000
+
 RESULTS = T.StructType(
     [
         T.StructField("lang_pred", T.StringType()),
@@ -89,16 +98,12 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted
 
 
-def build(counts: Sequence[tuple[str, int, int]], order: int) -> LanguageModel | None:
-    """The model of (language, byte group, count) rows; None without rows."""
-    if not counts:
-        return None
+def build(languages: list[str], counts: pa.Table, order: int) -> LanguageModel:
+    """The model of the rows (l: language, g: byte group, n: count)."""
     kind = np.uint32 if order < 4 else np.uint64
-    languages = sorted({x[0] for x in counts})
-    number = {x: i for i, x in enumerate(languages)}
-    of = np.array([number[x[0]] for x in counts])
-    groups = np.array([x[1] for x in counts], np.int64).astype(kind)
-    n = np.array([x[2] for x in counts], np.float64)
+    of = pc.index_in(counts.column("l"), pa.array(languages, pa.string())).to_numpy()
+    groups = counts.column("g").to_numpy().astype(kind)
+    n = counts.column("n").to_numpy().astype(np.float64)
     model = LanguageModel(languages, order, [], [], [], [])
     for k in range(order + 1):
         suffix = _last(groups, k + 1)
@@ -121,16 +126,36 @@ def build(counts: Sequence[tuple[str, int, int]], order: int) -> LanguageModel |
     return model
 
 
-def learned_letters(model: LanguageModel | None) -> str:
-    """The letters of the texts the model was built from, both cases of each (of up to ``order + 1`` bytes in UTF-8)."""
+@dataclass
+class Learned:
+    """Counted byte groups (l, g, n), and the languages in blocks, in order of their names."""
+
+    blocks: list[list[str]]
+    counts: DataFrame
+    order: int
+
+    @cached_property
+    def _only(self) -> LanguageModel:
+        return build(self.blocks[0], self.counts.toArrow(), self.order)
+
+    def model(self, block: int) -> LanguageModel:
+        """The model of one block; that of the only block is kept."""
+        if len(self.blocks) == 1:
+            return self._only
+        return build(self.blocks[block], self.counts.where(F.col("l").isin(self.blocks[block])).toArrow(), self.order)
+
+
+def learned_letters(learned: Learned | None) -> str:
+    """The letters of the texts that were learned from, both cases of each (of up to ``order + 1`` bytes in UTF-8)."""
     found = set()
-    for k, grams in enumerate(model.grams[:4] if model else []):
-        lead = (grams >> grams.dtype.type(8 * k)).astype(np.int64)
-        low, high = ((0, 0x80), (0xC2, 0xE0), (0xE0, 0xF0), (0xF0, 0xF5))[k]
-        for code in grams[(lead >= low) & (lead < high)].tolist():
-            letter = code.to_bytes(k + 1, "big").decode("utf-8", "ignore")
-            if len(letter) == 1 and letter.isalpha():
-                found.update(letter, *(x for x in (letter.lower(), letter.upper()) if len(x) == 1))
+    for block in range(len(learned.blocks) if learned else 0):
+        for k, grams in enumerate(learned.model(block).grams[:4]):
+            lead = (grams >> grams.dtype.type(8 * k)).astype(np.int64)
+            low, high = ((0, 0x80), (0xC2, 0xE0), (0xE0, 0xF0), (0xF0, 0xF5))[k]
+            for code in grams[(lead >= low) & (lead < high)].tolist():
+                letter = code.to_bytes(k + 1, "big").decode("utf-8", "ignore")
+                if len(letter) == 1 and letter.isalpha():
+                    found.update(letter, *(x for x in (letter.lower(), letter.upper()) if len(x) == 1))
     return "".join(sorted(found))
 
 
@@ -142,27 +167,28 @@ def fit_language_model(
     key: str = "doc_id",
     max_order: int = 3,
     sample_docs: int = 400,
-    max_languages: int = 400,
-    max_grams: int = 2_000_000,
-) -> LanguageModel | None:
+    max_grams: int = MAX_GRAMS,
+    block: int = BLOCK,
+) -> Learned | None:
     """Count byte groups of about ``sample_docs`` whole texts of each language.
 
     The sample is taken by a hash of ``key``. Rows without a text or language
-    are not used; without any row the model is None. ``max_grams`` bounds what
-    the driver gets: the most frequent groups win.
+    are not used; without any row the result is None. Of a language the
+    ``max_grams`` most frequent groups are learned, whatever the other languages
+    have. The driver gets the names and sizes of the languages, and the counts of
+    one block of languages at a time.
     """
     labelled = docs.select(
         F.col(quoted(lang)).cast("string").alias("l"),
         F.col(quoted(text)).cast("string").alias("t"),
         (F.pmod(F.xxhash64(F.col(quoted(key))), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"),
     ).where("l IS NOT NULL AND t IS NOT NULL")
-    sizes = labelled.groupBy("l").count().limit(max_languages + 1).collect()
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} languages; raise max_languages")
+    sizes = labelled.groupBy("l").count().collect()
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["l"], min(1.0, sample_docs / r["count"]))])
-    sample = labelled.where(F.col("u") < share[F.col("l")]).select("l", "t")
+    # as many rows as there are languages, whose names the driver has
+    shares = docs.sparkSession.createDataFrame([(r["l"], min(1.0, sample_docs / r["count"])) for r in sizes], "l string, share double")
+    sample = labelled.join(F.broadcast(shares), "l").where("u < share").select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,12 +204,15 @@ def fit_language_model(
                     )
 
     counted = sample.mapInArrow(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "l", "g").limit(max_grams)
-    return build([tuple(r) for r in top.collect()], max_order)
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "g"))
+    top = counted.withColumn("rank", rank).where(F.col("rank") <= max_grams).select("l", "g", "n")
+    names = sorted(r["l"] for r in sizes)
+    blocks = [names[i : i + block] for i in range(0, len(names), block)]
+    return Learned(blocks, saved(top) if len(blocks) > 1 else top, max_order)
 
 
 def identify_language(
-    docs: DataFrame, model: LanguageModel | None, *, text: str = "text", keep: Sequence[str] | None = None
+    docs: DataFrame, learned: Learned | None, *, text: str = "text", keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Append ``lang_pred``, ``score`` and ``bits_per_byte``.
 
@@ -191,14 +220,41 @@ def identify_language(
     ``score`` is its share when each language weighs two to the minus its code
     length. A text that is null or has no letter is ``und`` with score 0, as is
     every text if no language was learned. ``bits_per_byte`` is null for an
-    empty text. Repeated rows get equal results.
+    empty text. Repeated rows get equal results. With more than one block of
+    languages the steps between are kept in the shared folder.
+    """
+    keep = list(docs.columns if keep is None else keep)
+    carried = [f"c{i}" for i in range(len(keep))]
+    out = docs.select(*[F.col(quoted(c)).alias(n) for c, n in zip(keep, carried, strict=True)], F.col(quoted(text)).cast("string").alias("t"))
+    lettered = F.coalesce(F.col("t").rlike(r"\p{L}"), F.lit(False))
+    blocks = len(learned.blocks) if learned else 1
+    for block in range(blocks):
+        shared = docs.sparkSession.sparkContext.broadcast(learned.model(block) if learned else None)
+        last = block == blocks - 1
+        inputs = {"lettered": lettered, **({"before": F.struct("best", "bits", "mass")} if block else {})}
+        out = map_text(out, "t", RESULTS if last else _BETWEEN, _scorer(shared, last), keep=carried + ([] if last else ["t"]), inputs=inputs)
+        if not last:
+            out = saved(out)
+            shared.destroy()
+    names = {f.name.lower() for f in RESULTS}
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, carried, strict=True) if c.lower() not in names], *[f.name for f in RESULTS])
+
+
+_BETWEEN = T.StructType(
+    [T.StructField("best", T.StringType()), T.StructField("bits", T.DoubleType()), T.StructField("mass", T.DoubleType())]
+)
+
+
+def _scorer(shared, last: bool):
+    """The score of one broadcast block, on top of the best language of the blocks before.
+
+    ``mass`` is the weight of all languages so far, that of the best one being 1.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def worker():
         model = shared.value
 
-        def score(raw, offsets, lettered):
+        def score(raw, offsets, lettered, before=None):
             sizes = np.diff(offsets)
             lettered = np.array([bool(x) for x in lettered.to_pylist()])
             if model is None:
@@ -208,16 +264,23 @@ def identify_language(
             bits = np.stack([row_sums(cost[:, i][at], offsets) for i in range(len(model.languages))], axis=1)
             best = bits.argmin(axis=1)
             least = bits[np.arange(len(best)), best]
-            shares = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
+            mass = np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
+            best = [model.languages[i] for i in best]
+            if before is not None:
+                old = {k: pc.struct_field(before, k) for k in ("best", "bits", "mass")}
+                old_bits, old_mass = old["bits"].to_numpy(zero_copy_only=False), old["mass"].to_numpy(zero_copy_only=False)
+                best = [a if stays else b for a, b, stays in zip(old["best"].to_pylist(), best, old_bits <= least, strict=True)]
+                both = np.minimum(old_bits, least)
+                mass = old_mass * np.exp2(np.maximum(both - old_bits, -1000.0)) + mass * np.exp2(np.maximum(both - least, -1000.0))
+                least = both
+            if not last:
+                return [best, least, mass]
             return [
-                [model.languages[i] if x else UNDETERMINED for i, x in zip(best, lettered, strict=True)],
-                np.where(lettered, shares, 0.0),
+                [b if x else UNDETERMINED for b, x in zip(best, lettered, strict=True)],
+                np.where(lettered, 1 / mass, 0.0),
                 [b / s if s else None for b, s in zip(least, sizes, strict=True)],
             ]
 
         return score
 
-    return map_text(
-        docs, text, RESULTS, worker, keep=keep,
-        inputs={"lettered": F.coalesce(F.col(quoted(text)).cast("string").rlike(r"\p{L}"), F.lit(False))},
-    )
+    return worker
