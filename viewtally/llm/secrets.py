@@ -35,8 +35,11 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "weak_secret", "endpoint")
 REACH = 200
 SPAN = "array<struct<start:int,end:int>>"
+PIECE = "array<struct<low:int,high:int>>"
 #: Matches whose positions are counted in one go.
 PART = 512
+#: Code points of a stretch that a redacted text is put together from.
+STRETCH = 1024
 
 
 def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
@@ -167,24 +170,56 @@ def secret_digests(docs: DataFrame, *, id: str = "doc_id", text: str = "text", r
     )
 
 
+def _between(text: Column, spans: Column) -> Column:
+    """What is left of a text, as an array of the pieces before, between and behind its spans (start, end), in that order.
+
+    Spans that touch or overlap have no piece between them. A piece is put
+    together from stretches of ``STRETCH`` code points, so the time grows with
+    the text and the number of spans, not with their product.
+    """
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / PART).cast("int")), lambda i: F.slice(spans, i * PART + 1, F.lit(PART)))
+
+    def pieces(parts: Column, stretches: Column, length: Column) -> Column:
+        ends = F.aggregate(
+            parts, F.array(F.lit(-1)), lambda acc, part: F.array_append(acc, F.greatest(F.element_at(acc, -1), F.array_max(F.transform(part, lambda x: x["end"]))))
+        )  # the furthest end before each part, and of all
+
+        def step(acc: Column, x: Column) -> Column:
+            piece = F.array(F.struct(F.greatest(acc["at"], F.lit(0)).alias("low"), x["start"].alias("high")))
+            return F.struct(
+                F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] > acc["at"], F.concat(acc["found"], piece)).otherwise(acc["found"]).alias("found")
+            )
+
+        def found(ends: Column) -> Column:
+            inner = F.transform(
+                parts,
+                lambda part, i: F.aggregate(
+                    part, F.struct(F.element_at(ends, i + 1).alias("at"), F.array().cast(PIECE).alias("found")), step, lambda acc: acc["found"]
+                ),
+            )
+            return F.concat(F.flatten(inner), F.array(F.struct(F.element_at(ends, -1).alias("low"), length.alias("high"))))
+
+        def cut(x: Column) -> Column:
+            first, last = F.floor(x["low"] / STRETCH).cast("int"), F.floor((x["high"] - 1) / STRETCH).cast("int")
+
+            def part(i: Column) -> Column:
+                low = F.greatest(x["low"] - i * STRETCH, F.lit(0))
+                return F.substring(F.element_at(stretches, i + 1), low + 1, F.least(x["high"] - i * STRETCH, F.lit(STRETCH)) - low)
+
+            return F.when(x["low"] < x["high"], F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise("")
+
+        # an array of one holds what is asked for many times, so that it is made once
+        return F.transform(F.flatten(F.transform(F.array(ends), found)), cut)
+
+    held = F.array(F.struct(parts.alias("p"), F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % STRETCH), F.lit(0)).alias("s"), F.length(text).alias("n")))
+    return F.flatten(F.transform(held, lambda x: pieces(x["p"], x["s"], x["n"])))
+
+
 def redact_secrets(docs: DataFrame, *, text: str = "text", reach: int = REACH, mark: str = "[secret]") -> DataFrame:
     """The rows with every span of ``text`` replaced by ``mark``; spans that touch or overlap become one mark."""
     names = [f"k{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)
     found = find_secrets(docs.toDF(*names), text=names[at], reach=reach)
-    whole = F.col(names[at]).cast("string")
-
-    def step(acc: Column, x: Column) -> Column:
-        goes_on = (acc["at"] > 0) & (x["start"] <= acc["at"])
-        between = F.substring(whole, acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(
-            F.when(goes_on, acc["kept"]).otherwise(F.concat(acc["kept"], between, F.lit(mark))).alias("kept"),
-            F.greatest(acc["at"], x["end"]).alias("at"),
-        )
-
-    cut = F.aggregate(
-        "secret_spans", F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")), step,
-        lambda acc: F.concat(acc["kept"], F.substring(whole, acc["at"] + 1, F.length(whole))),
-    )
+    cut = F.array_join(_between(F.col(names[at]).cast("string"), F.col("secret_spans")), mark)
     cut = F.when(F.size("secret_spans") > 0, cut).otherwise(F.col(names[at]))
     return found.select(*[cut.alias(c) if c == names[at] else F.col(c) for c in names]).toDF(*docs.columns)
