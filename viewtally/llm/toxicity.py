@@ -131,7 +131,8 @@ def fit_toxicity(
         return pd.DataFrame({"feature": np.append(model.features, -1), "weight": np.append(model.weights, model.bias).astype(float)})
 
     learned = featured.groupBy(F.lit(0).alias("all")).applyInPandas(learn, "feature long, weight double")
-    got = learned.orderBy("feature").collect()  # 2 ** BITS + 1 rows at most
+    # 2 ** BITS + 1 rows at most, sorted here: range partitions would make Spark learn twice
+    got = sorted(learned.collect(), key=lambda r: r["feature"])
     if not got:
         return LinearModel(np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0)
     features = np.array([r["feature"] for r in got[1:]], np.int64)
