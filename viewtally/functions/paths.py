@@ -319,8 +319,8 @@ MUSIC_TABS: dict[tuple[str, str, str], tuple[str, str, str]] = {
     ("mv*mvCategoryHomePage", "*site_mvyear", "-mv_category"): (V.MUSIC_CATEGORY, "年代", "*"),
     ("mv*mvCategoryHomePage", "*site_mvarea", "-mv_category"): (V.MUSIC_CATEGORY, "地区", "*"),
 }
-_MUSIC_ENTRIES = sorted({e for e, _, _ in MUSIC_TABS if "*" in e and "Recommend" not in e}) + ["mv-search"]
-_MUSIC_SECONDS = sorted({s for _, s, _ in MUSIC_TABS if s})
+_MUSIC_ENTRIES = dict.fromkeys(e for e, _, _ in MUSIC_TABS if e not in ("mv_station", "mv*mvRecommendHomePage"))
+_MUSIC_SECONDS = dict.fromkeys(s for _, s, _ in MUSIC_TABS if s)
 # the two recommendation forms come first: a station is also a recommendation
 _MUSIC_PATTERN = (
     r"(mv\*mvRecommendHomePage\*.+-mv_station|mv\*mvRecommendHomePage\*[a-zA-Z0-9]+|"
@@ -331,20 +331,34 @@ _MUSIC_PATTERN = (
 )
 
 
+def _tab_labels(entry, tab, item) -> Column:
+    return F.struct(F.lit(entry).alias("entry"), F.lit(tab).alias("tab"), F.lit(item).alias("item"))
+
+
 def music_tabs(path) -> Column:
     """Struct (entry, tab, item) of a music path; '' where nothing matches."""
     path = column(path)
-    first, second, third = (F.regexp_extract(path, _MUSIC_PATTERN, g) for g in (1, 2, 3))
-    entry = F.when(first.endswith("-mv_station"), F.lit("mv_station")).otherwise(
-        F.regexp_replace(first, r"(mv\*mvRecommendHomePage)\*.*", "$1")
+    labels = F.create_map(*[x for parts, names in MUSIC_TABS.items() for x in (F.lit("".join(parts)), _tab_labels(*names))])
+
+    def labelled(part: Column) -> Column:
+        entry = F.when(part["first"].endswith("-mv_station"), F.lit("mv_station")).otherwise(
+            F.regexp_replace(part["first"], r"(mv\*mvRecommendHomePage)\*.*", "$1")
+        )
+        # most specific first: with the list, without it, the entry alone
+        spellings = [F.concat(entry, part["second"], F.substring_index(part["third"], "*", 1)), F.concat(entry, part["second"]), entry]
+        found = F.coalesce(*[F.try_element_at(labels, text) for text in spellings], _tab_labels("", "", ""))
+        return F.struct(found.alias("found"), F.substring_index(part["third"], "*", -1).alias("listed"))
+
+    # an array of one holds the groups of the pattern, so that each is extracted once
+    groups = F.struct(*[F.regexp_extract(path, _MUSIC_PATTERN, g).alias(name) for g, name in enumerate(("first", "second", "third"), start=1)])
+    named = F.transform(
+        F.transform(F.array(groups), labelled),
+        lambda x: F.struct(
+            x["found"]["entry"].alias("entry"), x["found"]["tab"].alias("tab"),
+            F.when(x["found"]["item"] == "*", x["listed"]).otherwise(x["found"]["item"]).alias("item"),
+        ),
     )
-    # most specific first: with the list, without it, the entry alone
-    spellings = [F.concat(entry, second, F.substring_index(third, "*", 1)), F.concat(entry, second), entry]
-    labels = F.create_map(*[F.lit(x) for k, v in MUSIC_TABS.items() for x in ("".join(k), "~".join(v))])
-    found = F.coalesce(*[F.try_element_at(labels, text) for text in spellings], F.lit("~~"))
-    parts = F.split(F.when(path.contains("mv"), found).otherwise(F.lit("~~")), "~")
-    item = F.when(parts[2] == "*", F.substring_index(third, "*", -1)).otherwise(parts[2])
-    return F.struct(parts[0].alias("entry"), parts[1].alias("tab"), item.alias("item"))
+    return F.when(path.contains("mv"), F.get(named, F.lit(0))).otherwise(_tab_labels("", "", ""))
 
 
 def music_home_location(path_main) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schemas import QOS_DOCUMENT
+from ..sources.schemas import QOS_DOCUMENT, QOS_SOURCE
 from ._keys import join_on_keys
 from .counts import with_totals
 from .rankings import topn_per_group
@@ -22,7 +22,6 @@ _TRY_NUMBERS = (
     "parseDuration", "initBufferDuration", "preAdDuration", "mediumAdDuration", "postAdDuration",
     "totalBufferTimes", "totalBufferDuration", "playDuration",
 )
-_SOURCE_TYPE = QOS_DOCUMENT[QOS_DOCUMENT.index("playqos:array<") + len("playqos:array<") : -2]
 _TOP_TEXT = (
     "aid", "pathMain", "pathSpecial", "pathSub", "accountId", "contentType", "videoSid", "episodeSid",
     "playType", "uploadTime",
@@ -31,7 +30,7 @@ _TOP_NUMBERS = ("initDuration", "getVideoInfoDuration", "playStatus", "avgDownlo
 
 
 def _marked(source: Column) -> Column:
-    return F.struct(F.lit(True).alias("real"), source.cast(_SOURCE_TYPE).alias("v"))
+    return F.struct(F.lit(True).alias("real"), source.cast(QOS_SOURCE).alias("v"))
 
 
 def qos_explode(df: DataFrame, json_col: str = "jsonLog", broken: str = "drop", keep: Sequence[str] = ()) -> DataFrame:

@@ -41,15 +41,17 @@ CRASH = {
     "CRASH_KEY": "string", "STACK_TRACE": "string", "DATE_CODE": "bigint",
     "PRODUCT_CODE": "string", "day": "date",
 }
-# The nested document of the play-quality log.
-QOS_DOCUMENT = """
-struct<userId:string, aid:string, pathMain:string, pathSpecial:string, pathSub:string,
- accountId:string, contentType:string, videoSid:string, episodeSid:string, playType:string,
- uploadTime:string, initDuration:bigint, getVideoInfoDuration:bigint, playStatus:bigint,
- avgDownloadSpeed:bigint, playRate:double,
- playqos:array<struct<videoSource:string, sourceIndex:bigint, sourceSwitch:string,
+# One source of the play-quality log with its tries, and the nested document of that log.
+QOS_SOURCE = """
+struct<videoSource:string, sourceIndex:bigint, sourceSwitch:string,
   sourcecases:array<struct<playCode:int, playerType:string, parseDuration:bigint,
    initBufferDuration:bigint, preAdDuration:bigint, mediumAdDuration:bigint,
    postAdDuration:bigint, totalBufferTimes:bigint, totalBufferDuration:bigint,
-   playDuration:bigint, bufferDurations:array<bigint>>>>>>
+   playDuration:bigint, bufferDurations:array<bigint>>>>
+""".replace("\n", "")
+QOS_DOCUMENT = f"""
+struct<userId:string, aid:string, pathMain:string, pathSpecial:string, pathSub:string,
+ accountId:string, contentType:string, videoSid:string, episodeSid:string, playType:string,
+ uploadTime:string, initDuration:bigint, getVideoInfoDuration:bigint, playStatus:bigint,
+ avgDownloadSpeed:bigint, playRate:double, playqos:array<{QOS_SOURCE}>>
 """.replace("\n", "")
