@@ -54,19 +54,25 @@ def users_where(
     conditions: Mapping[str, Column],
     user: Key = "userId",
     rows: Mapping[str, Column] | None = None,
+    sums: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Several conditional user counts (and row counts) in one pass."""
+    """Several conditional user counts (row counts, and sums of whole numbers) in one pass.
+
+    A sum without a value is 0, as are the counts.
+    """
     keys = as_list(keys)
     names = key_names(df, keys)
-    rows = rows or {}
+    rows, sums = rows or {}, sums or {}
     per_user = df.groupBy(*keys, as_column(user).alias("_user")).agg(
         *[F.max(F.coalesce(c, F.lit(False))).alias(f"_c{i}") for i, c in enumerate(conditions.values())],
         *[F.count_if(c).alias(f"_r{i}") for i, c in enumerate(rows.values())],
+        *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())],
     )
     known = F.col("_user").isNotNull()
     return per_user.groupBy(*names).agg(
         *[F.count_if(known & F.col(f"_c{i}")).alias(n) for i, n in enumerate(conditions)],
         *[long_sum(F.col(f"_r{i}")).alias(n) for i, n in enumerate(rows)],
+        *[F.coalesce(F.sum(f"_s{i}"), F.lit(0)).alias(n) for i, n in enumerate(sums)],
     )
 
 

@@ -70,18 +70,22 @@ def period_rollup(
     sums: Mapping[str, Column] | None = None,
     pv: str = "pv",
     uv: str = "uv",
+    users: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Rows, distinct users and sums per day, week, month, quarter and year:
-    (period, start, keys, pv, uv, sums).
+    (period, start, keys, pv, uv, sums, users). ``users`` counts those who meet
+    a condition, in the same pass.
 
     Events are first reduced to one row per (keys, day, user); only those rows
     are repeated per period.
     """
     keys = as_list(keys)
-    sums = sums or {}
+    sums, users = sums or {}, users or {}
+    met = [f"_c{i}" for i in range(len(users))]
     names = key_names(df, keys)
     daily = df.groupBy(*keys, F.col(day).alias("_day"), as_column(user).alias("_user")).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())]
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())],
+        *[F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in zip(met, users.values(), strict=True)],
     )
     spread = daily.withColumn(
         "_p",
@@ -90,11 +94,13 @@ def period_rollup(
         ),
     )
     per_user = spread.groupBy(F.col("_p.period").alias("period"), F.col("_p.start").alias("start"), *names, "_user").agg(
-        F.sum("_rows").alias("_rows"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))]
+        F.sum("_rows").alias("_rows"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))],
+        *[F.max(name).alias(name) for name in met],
     )
     known = F.col("_user").isNotNull()
     return per_user.groupBy("period", "start", *names).agg(
         long_sum(F.when(known, F.col("_rows"))).alias(pv),
         F.count_if(known).alias(uv),
         *[F.sum(f"_s{i}").alias(name) for i, name in enumerate(sums)],
+        *[F.count_if(known & F.col(c)).alias(name) for c, name in zip(met, users, strict=True)],
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.counts import funnel_join
 from ..operators.crashes import crash_counts, crash_trend
 from ..operators.rollups import rollup_all
 from .registry import report
@@ -35,9 +34,8 @@ def trend_calm(t):
 def activity(t):
     levels = [["apkVersion", "locationIndex", "productModel"], ["apkVersion", "locationIndex"], ["productModel"], []]
     log = t.home.where(F.length("apkVersion") == 5)
-    users = rollup_all(log, levels, "userId", uv="users").drop("pv")
-    logins = rollup_all(log.where(F.col("event") == "click"), levels, "userId", pv="logins").drop("uv")
-    return funnel_join([users, logins], ["apkVersion", "locationIndex", "productModel"], how="inner")
+    login = F.coalesce((F.col("event") == "click").cast("long"), F.lit(0))
+    return rollup_all(log, levels, "userId", sums={"logins": login}, uv="users").drop("pv").where("logins > 0")
 
 
 @report("activity_without_version", "X4")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.counts import funnel_join, pv_uv, pv_uv_duration
+from ..operators.counts import funnel_join, pv_uv, pv_uv_duration, users_where
 from ..operators.enrich import dim_enrich
 from ..operators.live import occupancy
 from ..operators.qos import qos_codes
@@ -64,10 +64,13 @@ def webcast_tree(t):
 @report("live_categories", "L7", "J2")
 def categories(t):
     named = dim_enrich(_live(t), t.livemenu, {"liveMenuCode": "menu_code"}, {"category": "menu_name"}, default="other")
-    plays = pv_uv(named, ["day", "category"], where=_is_start(), pv="play_num", uv="play_user")
-    views = pv_uv(named, ["day", "category"], where=F.col("event") == "switchchannel", pv="view_num", uv="view_user")
-    seconds = named.where(F.col("duration").between(0, 36000)).groupBy("day", "category").agg(F.sum("duration").alias("duration"))
-    return funnel_join([plays, views, seconds], ["day", "category"], how="left")
+    play, view, known = _is_start(), F.col("event") == "switchchannel", F.col("userId").isNotNull()
+    counted = users_where(
+        named, ["day", "category"], {"play_user": play, "view_user": view},
+        rows={"play_num": play & known, "view_num": view & known, "starts": play},
+        sums={"duration": F.when(F.col("duration").between(0, 36000), F.col("duration"))},
+    )
+    return counted.where("starts > 0").drop("starts")
 
 
 @report("live_channels", "L8")

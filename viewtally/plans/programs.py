@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as P
 from ..functions import scalars as S
-from ..operators.counts import funnel_join, play_duration, pv_uv
+from ..operators.counts import play_duration, pv_uv
 from ..operators.enrich import dim_enrich
 from ..operators.rankings import topn_per_group
 from .channels import started
@@ -163,14 +163,15 @@ def search_by_video(t):
     return pv_uv(t.search, ["resultSid", "resultName", "contentType"], where=F.col("step") == "click", null_user="count")
 
 
-@report("search_funnel", "P22", "J1")
+@report("search_funnel", "P22")
 def search_funnel(t):
     keys = ["day", "entrance", "tabName", "contentType"]
     steps = {"entrance": "enter", "tabview": "views", "click": "clicks"}
-    frames = [
-        t.search.where(F.col("step") == step).groupBy(*keys).agg(F.count("userId").alias(name)) for step, name in steps.items()
-    ]
-    return funnel_join(frames, keys, how="left")
+    counted = t.search.where(F.col("step").isin(list(steps))).groupBy(*keys).agg(
+        *[F.count(F.when(F.col("step") == step, F.col("userId"))).alias(name) for step, name in steps.items()],
+        F.count_if(F.col("step") == "entrance").alias("entered"),
+    )
+    return counted.where("entered > 0").drop("entered")
 
 
 def _app(event, row):

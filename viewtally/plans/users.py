@@ -69,10 +69,14 @@ def per_period(t):
 def details_plays(t):
     periods = ["day", "week", "month"]
     details = period_rollup(t.visit.where(F.col("event") == "view"), "day", "userId", periods, uv="detail_users").drop("pv")
-    plays = period_rollup(t.play.where(F.col("event").isin("startplay", "playview")), "day", "userId", periods, pv="plays", uv="play_users")
-    watched = t.play.where((F.col("event") != "startplay") & F.col("duration").between(0, 10800))
-    seconds = period_rollup(watched, "day", "userId", periods, sums={"duration": F.col("duration")}, uv="watch_users").drop("pv")
-    return funnel_join([details, plays, seconds], ["period", "start"], how="full")
+    start = F.col("event").isin("startplay", "playview")
+    watched = (F.col("event") != "startplay") & F.col("duration").between(0, 10800)
+    started = F.when(start & F.col("userId").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    plays = period_rollup(
+        t.play.where(start | watched), "day", "userId", periods, sums={"plays": started, "duration": F.when(watched, F.col("duration"))},
+        users={"play_users": start, "watch_users": watched},
+    )
+    return funnel_join([details, plays.drop("pv", "uv")], ["period", "start"], how="full")
 
 
 @report("users_per_version", "B9")
