@@ -1,4 +1,4 @@
-"""Periods by bits against plain counts of distinct users."""
+"""Periods and levels by bits and by user against plain counts of distinct users."""
 
 import random
 from datetime import date, timedelta
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewtally.functions.periods import PERIODS, period_label
-from viewtally.operators.rollups import period_rollup
+from viewtally.operators.rollups import period_rollup, rollup_all
 
 
 def log(spark, n=600):
@@ -69,3 +69,25 @@ def test_days_of_a_user_are_one_row(spark):
     counted = period_rollup(df, "day", "userId", ["day", "week", "month"])
     assert len(counted.collect()) == 31 + 5 + 1
     assert max(rows_shuffled(counted)) <= 2 * 4 * 2000
+
+
+@pytest.mark.parametrize("levels", [[[], ["k"], ["k", "day"]], [["k"], ["day"]], [["k", "day"]], [["k"]]])
+def test_levels_equal_distinct_users(spark, levels):
+    df = log(spark)
+    got = rollup_all(df, levels, "userId", sums={"seconds": F.col("seconds")})
+    finest = list(dict.fromkeys(c for level in levels for c in level))
+    named = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in finest})
+    wanted = None
+    for level in levels:
+        keyed = [(F.col(c) if c in level else F.lit("All")).alias(c) for c in finest]
+        counted = named.groupBy(*keyed).agg(F.count("*").alias("pv"), F.count_distinct("userId").alias("uv"), F.sum("seconds").alias("seconds"))
+        wanted = counted if wanted is None else wanted.unionAll(counted)
+    same(got, wanted)
+
+
+def test_repeated_rows_of_levels_are_not_shuffled(spark):
+    """All pairs of 300 users and 40 keys: no shuffle writes more than these pairs."""
+    df = spark.range(0, 300 * 40, 1, 1).select((F.col("id") % 300).cast("string").alias("userId"), F.expr("cast(floor(id / 300) as string)").alias("k"), F.expr("cast(id % 300 % 7 as string)").alias("j"))
+    counted = rollup_all(df, [[], ["j"], ["j", "k"]], "userId")
+    assert len(counted.collect()) == 1 + 7 + 7 * 40
+    assert max(rows_shuffled(counted)) <= 300 * 40

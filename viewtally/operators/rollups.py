@@ -27,14 +27,22 @@ def rollup_all(
     level leaves out hold 'All'.
 
     The log is reduced to one row per (finest keys, user) before the grouping
-    sets repeat rows, so the repetition is paid on users, not on events. Null
-    keys read ``null_label``, so they differ from 'All'.
+    sets repeat rows, so the repetition is paid on users, not on events. The
+    reduced rows are dealt by user first and repeated where they arrive, in as
+    many parts as ``spark.sql.shuffle.partitions`` says: a task that repeats
+    rows holds one part of them, and the repeated rows are not shuffled. A user
+    has no more of these rows than there are finest keys; those without a user
+    are dealt by a hash of the keys. Null keys read ``null_label``, so they
+    differ from 'All'.
     """
     sums = sums or {}
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     finest = list(dict.fromkeys(c for level in levels for c in level))
     partial = df.groupBy(*finest, as_column(user).alias("_user")).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())]
     )
+    nobody = F.col("_user").isNull()
+    partial = partial.withColumn("_part", F.when(nobody, F.xxhash64(F.lit(0), *finest)).otherwise(F.lit(0))).repartition(parts, "_user", "_part")
     for c in finest:
         text = F.col(c).cast("string")
         partial = partial.withColumn(c, text if null_label is None else F.coalesce(text, F.lit(null_label)))
@@ -50,7 +58,7 @@ def rollup_all(
         ),
     )
     keyed = [F.col(f"_level.{c}").alias(c) for c in finest]
-    per_user = labelled.groupBy(*keyed, "_user").agg(
+    per_user = labelled.groupBy(*keyed, "_user", "_part").agg(
         F.sum("_rows").alias("_rows"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))]
     )
     known = F.col("_user").isNotNull()
