@@ -228,10 +228,20 @@ def snapshot(t):
 @report("quality_rows", "M24", "U43", "U44")
 def quality_rows(t):
     rows = qos_explode(t.qos, keep=("day",))
-    return rows.groupBy("playQos", "sourceCases", "videoSource", "sourceIndex", "playCode").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("playDuration").alias("play_duration"), F.min("initDuration").alias("init"),
-        F.min("playerType").alias("player"), F.count_distinct("userId").alias("users"),
+    keys = ["playQos", "sourceCases", "videoSource", "sourceIndex", "playCode"]
+    # the least of some texts can only be found by sorting, so that is left to the few rows per key and player type
+    sums = [F.sum("n").alias("n"), F.sum("play_duration").alias("play_duration"), F.min("init").alias("init")]
+    reduced = rows.groupBy(*keys, F.col("playerType").alias("player"), "userId").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("playDuration").alias("play_duration"), F.min("initDuration").alias("init")
     )
+    names = ["player", "userId", "n", "play_duration", "init"]
+    none = {c: F.lit(None).cast(reduced.schema[c].dataType).alias(c) for c in names}
+    of_player = F.struct(*[none[c] if c == "userId" else F.col(c) for c in names])
+    of_user = F.struct(*[F.col(c) if c == "userId" else none[c] for c in names])
+    apart = reduced.select(*keys, F.explode(F.array(of_player, of_user)).alias("r")).select(*keys, "r.*")
+    once = apart.groupBy(*keys, "player", "userId").agg(*sums)
+    few = once.groupBy(*keys, "player").agg(*sums, F.count("userId").alias("users"))
+    return few.groupBy(*keys).agg(*sums, F.min("player").alias("player"), F.sum("users").alias("users"))
 
 
 @report("user_areas", "M26")
