@@ -42,7 +42,9 @@ def qos_explode(df: DataFrame, json_col: str = "jsonLog", broken: str = "drop",
     with blank keys and code 0, as the code counts want it.
     """
     schema = QOS_DOCUMENT.replace("struct<", "struct<_broken:string,", 1)
-    parsed = F.from_json(F.col(json_col), schema, {"columnNameOfCorruptRecord": "_broken"})
+    # a text without a closing brace holds no whole object: unreadable, without the parser's costly failure
+    whole = F.col(json_col).contains("}")
+    parsed = F.when(whole, F.from_json(F.col(json_col), schema, {"columnNameOfCorruptRecord": "_broken"}))
     doc = df.select(*keep, parsed.alias("d"))
     ok = F.col("d").isNotNull() & F.col("d._broken").isNull()
     # only the flat fields travel with the exploded rows, not the document
