@@ -172,3 +172,15 @@ def test_components(spark):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 50: 50, 51: 50, 100: 50}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_documents_without_words_need_no_second_pass_of_digests(make_docs):
+    texts = [None, "", " .,;-\t\n", "_", "a", "Z!", "7", "é", "\x7f", "\x80", "中", "\U0001f600", "@[`{/:"]
+    docs = make_docs(list(enumerate(texts)))
+    out = nd.one_of_each(docs)
+    # rows alone in their class, and those that repeat: one exchange serves both
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2
+    assert sorted(r.doc_id for r in out.collect()) == list(range(len(texts)))
+    digest = nd.word_digests(docs.select("doc_id", F.col("text").alias("t")), text="t", name="d")
+    wordless = {r.doc_id for r in digest.where("d IS NULL").collect()}
+    assert wordless == {r.doc_id for r in docs.where(~F.coalesce(F.col("text").rlike(nd.SOME_WORD), F.lit(False))).collect()}

@@ -51,6 +51,9 @@ WINDOW = 4
 ROUND_BANDS = (6, 32)
 MARGIN = 0.10
 
+#: A text in which this occurs has a word, as ``WORD_BYTES`` has it.
+SOME_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
+
 _STEP = np.uint64(0xA0761D6478BD642F)
 _TURN = np.uint64(0xE7037ED1A0B428DB)
 
@@ -269,7 +272,8 @@ def one_of_each(
     at = {c: n for c, n in zip(docs.columns, names, strict=True)}
     # map_text takes the text out of the columns, so it goes in twice
     marked = word_digests(plain.withColumn("t", F.col(at[text]).cast("string")), text="t", name="d1").drop("t")
-    wordless = marked.where("d1 IS NULL").select(*names)
+    # what has no byte of a word is seen without a second pass of the digests
+    wordless = plain.where(~F.coalesce(F.col(at[text]).cast("string").rlike(SOME_WORD), F.lit(False)))
     kept = marked.where("d1 IS NOT NULL").join(keepers, (F.col("d1") == F.col("d")) & F.col(at[id]).eqNullSafe(F.col("k")))
     alone = kept.where("NOT again").select(*names)
     order = F.struct(F.col(at[text]).cast("string"), F.xxhash64(*[F.to_json(F.struct(n)) for n in names]))
@@ -290,7 +294,7 @@ def grouped(members: DataFrame, sets: DataFrame, registers_of: DataFrame, simila
         moved = connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
         current = saved(_renamed(current, moved))
     open_ = _mixed(members.join(current, "node"))
-    links = saved(joining_links(open_.join(registers_of, "node").join(sets, "node"), similarity, rows))
+    links = saved(joining_links(open_, similarity, rows, registers_of, sets))
     if links.isEmpty():
         return current
     return _renamed(current, connected_components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))))
@@ -350,9 +354,12 @@ def neighbours(members: DataFrame, agreement: float, rows: int, bands: int, turn
     return dealt.mapInArrow(run, "a long, b long, x long, y long, agreeing double")
 
 
-def joining_links(members: DataFrame, similarity: float, rows: int) -> DataFrame:
+def joining_links(members: DataFrame, similarity: float, rows: int, *of_node: DataFrame) -> DataFrame:
     """(x, y): roots that a pair of (bucket, band, node, root, sketch, s, w) in one bucket connects.
 
+    ``of_node`` are frames of ``node`` with columns that ``members`` lacks; they
+    join the members of the cells, so registers and sets are shuffled once.
+
     A pair of different roots is tried in the first band of ``rows`` registers in
     which it agrees, if it agrees in enough registers, and its sets are compared
     exactly. A bucket is cut into blocks of about ``BLOCK`` members, and each
@@ -363,6 +370,8 @@ def joining_links(members: DataFrame, similarity: float, rows: int) -> DataFrame
     blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     cells = members.join(blocks, "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    for frame in of_node:
+        cells = cells.join(frame, "node")
     cells = cells.select(
         "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "band", "root", "sketch", "s", "w"
     )
