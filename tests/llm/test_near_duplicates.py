@@ -13,6 +13,7 @@ from viewtally.llm import near_duplicates as nd
 from viewtally.llm.components import connected_components
 from viewtally.llm.queries import QUERIES
 from viewtally.llm.textarrays import text_chunks
+from viewtally.session import BATCH_BYTES, BATCH_KEY
 
 
 def sets_of(texts):
@@ -184,3 +185,45 @@ def test_documents_without_words_need_no_second_pass_of_digests(make_docs):
     digest = nd.word_digests(docs.select("doc_id", F.col("text").alias("t")), text="t", name="d")
     wordless = {r.doc_id for r in digest.where("d IS NULL").collect()}
     assert wordless == {r.doc_id for r in docs.where(~F.coalesce(F.col("text").rlike(nd.SOME_WORD), F.lit(False))).collect()}
+
+
+def batch_bytes(df):
+    """Bytes of each batch that Spark hands to the workers of one task."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["n"])
+
+    return [r.n for r in df.coalesce(1).mapInArrow(sizes, "n long").collect()]
+
+
+def test_batches_for_python_are_bounded_by_bytes_not_rows(spark):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.rpad(F.concat(F.lit("w"), F.col("id")), 5000, " abcd").alias("text"))
+    before = spark.conf.get(BATCH_KEY, None)
+    try:
+        spark.conf.unset(BATCH_KEY)
+        assert max(batch_bytes(rows)) > 7 * BATCH_BYTES  # what Spark does by itself: all rows at once
+        nd.one_of_each(rows)
+        got = batch_bytes(rows)
+        assert sum(got) >= 3000 * 5000 and max(got) < 2 * BATCH_BYTES
+        spark.conf.set(BATCH_KEY, "12345678")
+        nd.word_digests(rows, text="text", name="d")
+        assert spark.conf.get(BATCH_KEY) == "12345678"  # a session's own bound stays
+    finally:
+        spark.conf.unset(BATCH_KEY) if before is None else spark.conf.set(BATCH_KEY, before)
+
+
+def test_small_batches_change_nothing(spark, make_docs):
+    rng = random.Random(5)
+    base = [varied(rng, 60) for _ in range(12)]
+    docs = make_docs([(i, " ".join(edited(rng, base[i % 12], i % 4))) for i in range(240)])
+    before = spark.conf.get(BATCH_KEY, None)
+    got = []
+    try:
+        for bound in ("64m", "2k"):
+            spark.conf.set(BATCH_KEY, bound)
+            found = sorted(map(tuple, nd.near_duplicates(docs).collect()))
+            got.append((found, sorted(map(tuple, nd.one_of_each(docs).collect()))))
+    finally:
+        spark.conf.unset(BATCH_KEY) if before is None else spark.conf.set(BATCH_KEY, before)
+    assert got[0] == got[1] and 12 <= len(got[0][1]) < 240

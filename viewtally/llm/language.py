@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from viewtally.llm.components import saved
 from viewtally.llm.textarrays import map_text, quoted, row_sums, text_chunks
+from viewtally.session import bound_batches
 
 UNDETERMINED = "und"
 #: Languages of one model, and byte groups of one language: two million groups in a model at most.
@@ -178,6 +179,7 @@ def fit_language_model(
     have. The driver gets the names and sizes of the languages, and the counts of
     one block of languages at a time.
     """
+    bound_batches(docs.sparkSession)
     labelled = docs.select(
         F.col(quoted(lang)).cast("string").alias("l"),
         F.col(quoted(text)).cast("string").alias("t"),

@@ -1,7 +1,8 @@
 """Text columns as numpy arrays, in chunks of bounded size.
 
-Spark splits the rows; inside a task an Arrow batch of texts is cut into chunks
-of whole texts and each chunk is worked on with array operations. A chunk holds
+Spark splits the rows and hands a task Arrow batches of bounded size
+(``session.bound_batches``). Inside a task a batch of texts is cut into chunks of
+whole texts and each chunk is worked on with array operations. A chunk holds
 at most ``CHUNK_BYTES`` bytes unless a single text is longer, so the memory of a
 task depends on its longest text, not on its number of rows.
 """
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from viewtally.session import bound_batches
+
 CHUNK_BYTES = 1 << 20
 CHUNK_DOCS = 1000
 
@@ -69,6 +72,7 @@ def map_text(
     columns to carry along (all by default). A kept column whose name, without
     regard to case, is that of a result gives way to the result.
     """
+    bound_batches(df.sparkSession)
     inputs = dict(inputs or {})
     names = list(inputs)
     taken = {f.name.lower() for f in results}

@@ -18,6 +18,9 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+#: Bytes of a batch of rows that Spark hands to a Python worker; without it a batch is 10,000 rows, however long they are.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20
+
 
 def build_session(app: str = "viewtally", master: str | None = None, **conf) -> SparkSession:
     """A session with the defaults above; ``conf`` overrides them."""
@@ -29,6 +32,16 @@ def build_session(app: str = "viewtally", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches for Python end at ``BATCH_BYTES`` (and a row), unless the session has a bound of its own.
+
+    Each task holds a batch in the executor's direct memory and again in its
+    worker. It stays set for the session, as frames run later than they are made.
+    """
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names; make one only in local mode.
 
